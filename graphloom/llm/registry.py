@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import simhash, substring_dedup, suffix_dedup
+from graphloom.llm import language_id, sharding, simhash, substring_dedup, suffix_dedup
 
-MODULES = (substring_dedup, simhash, suffix_dedup)
+MODULES = (substring_dedup, language_id, simhash, suffix_dedup, sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
