@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import language_id, sharding, simhash, substring_dedup, suffix_dedup
+from graphloom.llm import embedding_dedup, language_id, packing, sharding, simhash, substring_dedup, suffix_dedup
 
-MODULES = (substring_dedup, language_id, simhash, suffix_dedup, sharding)
+MODULES = (substring_dedup, language_id, packing, simhash, suffix_dedup, sharding, embedding_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
