@@ -1,4 +1,7 @@
-"""Language identification by compression: the language whose dictionary compresses a text best."""
+"""Language identification by compression: the language whose dictionary compresses a text best.
+
+Dictionaries and texts are in lower case, so that capitals don't hide what a dictionary knows.
+"""
 
 from __future__ import annotations
 
@@ -15,9 +18,11 @@ from graphloom.llm.common import table
 
 #: Bounds of the fit: texts of a language, and bytes of its dictionary.
 SAMPLE, DICTIONARY = 96, 112 << 10
-LEVEL = 3
+LEVEL = 6
 #: A text is rejected if its best size is not this share smaller than the second best.
-MARGIN = 0.01
+MARGIN = 0.003
+#: Margin at which the score is 1 - 0.5 / e.
+SCALE = 0.01
 UNKNOWN = "und"
 OUTPUTS = ("lang_pred", "score", "rejected")
 
@@ -35,7 +40,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str =
     found: dict[str, list] = {}
     for k, name, body in rows:
         found.setdefault(name, []).append((k, body))
-    return {name: "\n".join(body for _, body in sorted(bodies)).encode()[-DICTIONARY:] for name, bodies in sorted(found.items())}
+    return {name: "\n".join(body.lower() for _, body in sorted(bodies)).encode()[-DICTIONARY:] for name, bodies in sorted(found.items())}
 
 
 def classify(dictionaries: dict[str, bytes], text: str):
@@ -56,12 +61,12 @@ def classify(dictionaries: dict[str, bytes], text: str):
                     score.append(0.0)
                     rejected.append(True)
                     continue
-                raw = t.encode()
+                raw = t.lower().encode()
                 sizes = np.array([len(c.compress(raw)) for c in coders])
                 order = np.argsort(sizes, kind="stable")
                 margin = 1 - sizes[order[0]] / sizes[order[1]] if len(order) > 1 else 1.0
                 best.append(names[order[0]])
-                score.append(float(1 - 0.5 * np.exp(-margin / MARGIN)))
+                score.append(float(1 - 0.5 * np.exp(-margin / SCALE)))
                 rejected.append(bool(margin < MARGIN))
             for name, values, kind in zip(OUTPUTS, (best, score, rejected), (pa.string(), pa.float64(), pa.bool_()), strict=True):
                 batch = batch.append_column(name, pa.array(values, kind))
