@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontamination, embedding_dedup, language_id, packing, sharding, simhash, substring_dedup, suffix_dedup
+from graphloom.llm import chat_format, decontamination, embedding_dedup, language_id, packing, sharding, simhash, substring_dedup, suffix_dedup
 
-MODULES = (substring_dedup, language_id, packing, simhash, decontamination, suffix_dedup, sharding, embedding_dedup)
+MODULES = (substring_dedup, language_id, packing, simhash, decontamination, chat_format, suffix_dedup, sharding, embedding_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
