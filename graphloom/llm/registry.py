@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import chat_format, decontamination, embedding_dedup, language_id, packing, sharding, simhash, substring_dedup, suffix_dedup
+from graphloom.llm import chat_format, decontamination, embedding_dedup, language_id, licences, packing, sharding, simhash, substring_dedup, suffix_dedup
 
-MODULES = (substring_dedup, language_id, packing, simhash, decontamination, chat_format, suffix_dedup, sharding, embedding_dedup)
+MODULES = (substring_dedup, language_id, licences, packing, simhash, decontamination, chat_format, suffix_dedup, sharding, embedding_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,4 +16,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
+    return {name: sql() if callable(sql) else sql for m in MODULES for name, sql in m.ORACLES.items()}
