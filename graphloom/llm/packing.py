@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -20,32 +21,60 @@ TOKENIZER = "word_bpe_49k.json"
 #: Documents that one packer serves; more make for less padding, and each is a few bytes.
 SERVED = 16384
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: Marks that end words, and the first letter behind the Latin blocks whose lower-case letters are in composed form.
+_MARKS, _BEYOND_LATIN = b".,;:!?", "\u0250"
 _SEPARATOR, _SEPARATOR_ID = "<|startoftext|>", 49406
 _words: dict[bytes, bytes] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write the bytes from 128 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+
+
 def word_ids(words: set[bytes], tokenizer) -> dict[bytes, bytes]:
-    """The worker's memory of words' ids, as little-endian 32-bit numbers, with all of ``words`` in it.
+    """The worker's memory of words' ids, as little-endian 32-bit numbers, with all of ``words`` (A-Z in lower case) in it.
 
     The vocabulary's pre-tokenizer drops white space and never reaches across it, so a text's ids are its words' ids.
-    Words go to the tokenizer in one string, parted by a special token; one that contains it goes alone.
+    It also parts a run of letters from the marks that follow, so a word of Latin letters, which no normaliser changes,
+    goes straight to the merges, and its marks are looked up. Other words go to the tokenizer in one string, parted by a
+    special token; one that may contain it goes alone.
     """
-    missing = sorted(words - _words.keys())
-    if not missing:
-        return _words
+    missing = [w for w in words if w not in _words]
     if len(_words) + len(missing) > REMEMBERED:
         _words.clear()
-        missing = sorted(words)
-    plain = [w for w in missing if b"<|" not in w]
-    for at in range(0, len(plain), 2048):
-        part = plain[at : at + 2048]
+        missing = list(words)
+    merges, rest = tokenizer.model.tokenize, []
+    for w in missing:
+        body = w.rstrip(_MARKS)
+        letters = body.decode()
+        if not letters.isalpha() or max(letters) >= _BEYOND_LATIN or letters.lower() != letters:
+            rest.append(w)
+            continue
+        ids = _words.get(body)
+        if ids is None:
+            own = [t.id for t in merges(letters if letters.isascii() else "".join(map(_LETTERS.__getitem__, body)))]
+            ids = _words[body] = struct.pack(f"<{len(own)}I", *own)
+        if len(body) < len(w):
+            marks = w[len(body) :]
+            if marks not in _words:
+                _words[marks] = np.array(tokenizer.encode(marks.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            _words[w] = ids + _words[marks]
+    joined = [w for w in rest if b"<|" not in w]
+    for at in range(0, len(joined), 2048):
+        part = joined[at : at + 2048]
         ids = np.array(tokenizer.encode_batch_fast([_SEPARATOR.join(w.decode() for w in part)], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(ids == _SEPARATOR_ID)
         raw = ids.tobytes()
         for w, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
             _words[w] = raw[4 * a : 4 * b]
-    for w in missing:
+    for w in rest:
         if b"<|" in w:
             _words[w] = np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
     return _words
@@ -62,7 +91,7 @@ def _pieces(vocabulary: Broadcast, key: str, text: str, length: int, packers: in
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out: list[list] = [[] for _ in range(6)]
-                split = [(t or b"").split() for t in bytes_of(part.column(text))]
+                split = [(t or b"").lower().split() for t in bytes_of(part.column(text))]
                 ids = word_ids(set().union(*split), tokenizer)
                 for i, words in zip(part.column(key).to_pylist(), split, strict=True):
                     raw = b"".join(map(ids.__getitem__, words)) + end
