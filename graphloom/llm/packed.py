@@ -5,20 +5,21 @@ hash of its m-grams; consecutive windows that share one form a super-k-mer, whic
 bucket of its minimiser. Equal windows have equal minimisers, so a bucket sees every copy of each of its windows and
 decides exactly, on the units themselves, in which document a window starts first.
 
-Three steps, each of bounded memory:
-
-1. ``_pack`` (one scan of the texts): chunks of a few MB are cut into super-k-mers. Equal packed strings of a chunk are
-   combined before the shuffle: the chunk's first document travels, later ones are marked at once, so a passage that a
-   third of all rows share costs one string a chunk.
-2. ``_settle`` (by bucket): strings whose minimiser occurs in one document only go at once; equal strings are combined
-   across chunks; what is left is compared window by window through the ``rank`` function given (sorted names for words,
-   a suffix array for bytes).
-3. ``_apply`` (by document): marks meet their texts, and the uncovered units are kept.
+Texts are dealt once into groups of a few MB by their key; every step below reads that one exchange.
+
+1. ``_census`` (by group): the distinct minimisers of the group, four bytes each, go to their buckets.
+2. ``_answer`` (by bucket): one bit a minimiser comes back: does another group have it? All others need not travel.
+3. ``_pack`` (by group): super-k-mers whose minimiser is shared travel to its bucket. Equal packed strings of a group
+   are combined before: the group's first document travels, later ones are marked at once, so a passage that a third of
+   all rows share costs one string a group.
+4. ``_settle`` (by bucket): equal strings are combined across groups; what is left is compared window by window through
+   the ``rank`` function given (sorted names for words, a suffix array for bytes).
+5. ``_apply`` (by group): marks meet their texts, and the uncovered units are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ from graphloom.llm.common import U64, bytes_of, chunks, mix64, partitions, slidi
 WORD_GRAM, BYTE_GRAM = 4, 16
 #: Bytes of text that are cut at a time.
 WORD_CHUNK, BYTE_CHUNK = 6 << 20, 3 << 20
+#: Bytes of packed strings, of whole minimisers, that are ranked together.
+RANKED = 1 << 17
 OUTPUTS = ("kept", "n_units", "n_removed", "n_spans")
 _PLACE, _BLOB = "__gl_place", "__gl_blob"
 
@@ -92,7 +95,7 @@ def loads(packed: bytes) -> np.ndarray:
 
 
 def _blob(*arrays: np.ndarray, tail: bytes = b"") -> bytes:
-    return zstandard.compress(np.array([len(arrays[0])], "<i8").tobytes() + b"".join(a.tobytes() for a in arrays) + tail, 1)
+    return zstandard.compress(np.array([len(arrays[0])], "<i8").tobytes() + b"".join(a.tobytes() for a in arrays) + tail, 3)
 
 
 def _unblob(blob: bytes, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
@@ -117,50 +120,121 @@ def _runs(doc: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
     return doc[first], at[first], np.add.reduceat(n, first)
 
 
+def _pieces(ids: np.ndarray, texts: list[bytes], width: int, units: Callable, limit: int) -> Iterator[tuple]:
+    """The super-k-mers of texts sorted by id, a few MB of text at a time.
+
+    Yields the packed text, and for each super-k-mer its document's id, first unit, number of windows, minimiser, and
+    first and last byte.
+    """
+    sizes = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    cuts = np.unique(np.append(np.flatnonzero(np.diff(sizes // limit, prepend=0)), [0, len(texts)]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        packed, counts, first, last, least = units(texts[a:b], width)
+        doc = np.repeat(np.arange(b - a), counts)
+        starts = np.flatnonzero(doc[: len(least)] == doc[width - 1 :]) if len(least) else np.zeros(0, np.int64)
+        if not len(starts):
+            continue
+        low = least[starts]
+        new = np.ones(len(starts), bool)
+        new[1:] = (starts[1:] != starts[:-1] + 1) | (low[1:] != low[:-1])
+        head = np.flatnonzero(new)
+        n = np.diff(np.append(head, len(starts)))
+        head, low = starts[head], low[head]
+        of = doc[head]
+        at = head - (np.cumsum(counts) - counts)[of]
+        yield packed, ids[a:b][of], at.astype("<i4"), n.astype("<i4"), low, first[head], last[head + n + width - 2]
+
+
+def _sorted_texts(docs: pa.Table, key: str, text: str) -> tuple[np.ndarray, list[bytes]]:
+    """The rows that take part, by key."""
+    rows = sorted((i, k) for k, (i, t) in enumerate(zip(docs.column(key).to_pylist(), docs.column(text).is_valid().to_pylist(), strict=True)) if i is not None and t)
+    texts = bytes_of(docs.column(text).combine_chunks())
+    return np.array([i for i, _ in rows], np.int64), [texts[k] for _, k in rows]
+
+
+def _tags(low: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and tag of minimisers. Two of a bucket may share a tag; that only keeps strings that have no partner."""
+    return (low % U64(buckets)).astype(np.int64), (low >> U64(32)).astype("<u4")
+
+
+def _distinct_tags(low: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted bucket-and-tag values, each value's place among them, and where each bucket begins."""
+    place, tag = _tags(low, buckets)
+    distinct, inverse = np.unique(place.astype(U64) << U64(32) | tag, return_inverse=True)
+    return distinct, inverse, np.flatnonzero(np.diff((distinct >> U64(32)).astype(np.int64), prepend=-1))
+
+
+def _census(key: str, text: str, width: int, units: Callable, limit: int, buckets: int) -> Callable:
+    def run(docs: pa.Table) -> pa.Table:
+        at = docs.column(_PLACE)[0].as_py()
+        low = [x[4] for x in _pieces(*_sorted_texts(docs, key, text), width, units, limit)]
+        places, blobs = [], []
+        if low:
+            distinct, _, cuts = _distinct_tags(np.concatenate(low), buckets)
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(distinct)], strict=True):
+                places.append(int(distinct[a] >> U64(32)))
+                blobs.append((distinct[a:b] & U64(0xFFFFFFFF)).astype("<u4").tobytes())
+        return pa.table([pa.array(places, pa.int32()), pa.array([at] * len(places), pa.int32()), pa.array(blobs, pa.binary())], ["bucket", _PLACE, _BLOB])
+
+    return run
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """For each group of texts, a bit for each of its tags: does another group have it?"""
+    blobs = table.column(_BLOB).to_pylist()
+    tags = np.concatenate([np.frombuffer(x, "<u4") for x in blobs])
+    order = np.argsort(tags, kind="stable")
+    same = np.zeros(len(tags) + 1, bool)
+    same[1:-1] = tags[order[1:]] == tags[order[:-1]]
+    shared = np.zeros(len(tags), bool)
+    shared[order] = same[1:] | same[:-1]
+    ends = np.cumsum([len(x) // 4 for x in blobs])
+    return pa.table([table.column(_PLACE), table.column("bucket"), pa.array([np.packbits(x).tobytes() for x in np.split(shared, ends[:-1])], pa.binary())], [_PLACE, "bucket", _BLOB])
+
+
 def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets: int) -> Callable:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, text, limit):
-            ids = np.asarray(part.column(key).combine_chunks().cast(pa.int64()))
-            order = np.argsort(ids, kind="stable")
-            texts = bytes_of(part.column(text).combine_chunks())
-            ids, texts = ids[order], [texts[k] for k in order]
-            packed, counts, first, last, least = units(texts, width)
-            if not len(least):
-                continue
-            begins = np.cumsum(counts) - counts
-            doc = np.repeat(np.arange(len(texts)), counts)
-            starts = np.flatnonzero(doc[: len(least)] == doc[width - 1 :])
-            if not len(starts):
-                continue
-            low = least[starts]
-            new = np.ones(len(starts), bool)
-            new[1:] = (starts[1:] != starts[:-1] + 1) | (low[1:] != low[:-1])
-            head = np.flatnonzero(new)
-            n = np.diff(np.append(head, len(starts)))
-            head, low = starts[head], low[head]
-            del new, starts, least
-            of = doc[head]
-            at = (head - begins[of]).astype("<i4")
-            strings = [packed[a:b] for a, b in zip(first[head].tolist(), last[head + n + width - 2].tolist(), strict=True)]
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, texts = _sorted_texts(docs, key, text) if docs.num_rows else (np.zeros(0, np.int64), [])
+        parts, pieces = [], []
+        for packed, *arrays, a, b in _pieces(ids, texts, width, units, limit):
+            parts.append(arrays)
+            pieces.append((packed, a, b))
+        places, blobs, marks = [], [], []
+        if parts:
+            doc, at, n, low = (np.concatenate(x) for x in zip(*parts, strict=True))
+            distinct, inverse, cuts = _distinct_tags(low, buckets)
+            shared = np.zeros(len(distinct), bool)
+            bits = dict(zip(answers.column("bucket").to_pylist(), answers.column(_BLOB).to_pylist(), strict=True))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(distinct)], strict=True):
+                shared[a:b] = np.unpackbits(np.frombuffer(bits[int(distinct[a] >> U64(32))], np.uint8), count=b - a).astype(bool)
+            least, most = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
+            np.minimum.at(least, inverse, doc)
+            np.maximum.at(most, inverse, doc)
+            use = (shared | (least < most))[inverse]
+            strings: list[bytes] = []
+            base = 0
+            for packed, a, b in pieces:
+                mine = np.flatnonzero(use[base : base + len(a)])
+                strings += [packed[x:y] for x, y in zip(a[mine].tolist(), b[mine].tolist(), strict=True)]
+                base += len(a)
+            doc, at, n = doc[use], at[use], n[use]
+            place, tag = _tags(low[use], buckets)
             seen: dict[bytes, int] = {}
-            earliest = np.fromiter(map(seen.setdefault, strings, ids[of].tolist()), np.int64, len(strings))
-            later = earliest < ids[of]
-            places, blobs, marks = [], [], []
+            earliest = np.fromiter(map(seen.setdefault, strings, doc.tolist()), np.int64, len(strings))
+            later = earliest < doc
             if later.any():
-                d, a, m = _runs(ids[of[later]], at[later], n[later].astype("<i4"))
-                places, blobs, marks = [int(ids[0]) % buckets], [_blob(d.astype("<i8"), a, m.astype("<i4"))], [True]
-            place = (low % U64(buckets)).astype(np.int64)
+                d, a, m = _runs(doc[later], at[later], n[later])
+                places, blobs, marks = [int(d[0]) % buckets], [_blob(d.astype("<i8"), a.astype("<i4"), m.astype("<i4"))], [True]
             rest = np.flatnonzero(~later)
             rest = rest[np.argsort(place[rest], kind="stable")]
             cuts = np.flatnonzero(np.diff(place[rest], prepend=-1))
-            tag = (low >> U64(40)).astype("<u4")
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rest)], strict=True):
                 own = rest[a:b]
                 mine = [strings[k] for k in own.tolist()]
                 places.append(int(place[own[0]]))
-                blobs.append(_blob(np.diff(ids[of[own]], prepend=0).astype("<i8"), at[own], n[own].astype("<i4"), tag[own], np.fromiter(map(len, mine), "<i4", len(mine)), tail=b"".join(mine)))
+                blobs.append(_blob(np.diff(doc[own], prepend=0).astype("<i8"), at[own], n[own], tag[own], np.fromiter(map(len, mine), "<i4", len(mine)), tail=b"".join(mine)))
                 marks.append(False)
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(blobs, pa.binary()), pa.array(marks, pa.bool_())], [_PLACE, _BLOB, "marks"])
+        return pa.table([pa.array(places, pa.int32()), pa.array(blobs, pa.binary()), pa.array(marks, pa.bool_())], ["bucket", _BLOB, "marks"])
 
     return run
 
@@ -219,15 +293,21 @@ def _settle(rank: Callable, buckets: int) -> Callable:
             if several.any():
                 chosen = np.flatnonzero(several)
                 listed = list(numbers)
-                windows = dict(zip(chosen.tolist(), rank([listed[k] for k in chosen.tolist()], least[chosen]), strict=True))
-                d, a, m = [], [], []
-                for k in np.flatnonzero(several[sid]).tolist():
-                    flags = np.flatnonzero(np.diff((windows[int(sid[k])] < doc[k]).astype(np.int8), prepend=0, append=0))
-                    for x, y in flags.reshape(-1, 2).tolist():
-                        d.append(doc[k])
-                        a.append(at[k] + x)
-                        m.append(y - x)
-                found.append([np.array(d, np.int64), np.array(a, np.int64), np.array(m, np.int64)])
+                chosen = chosen[np.argsort(of[chosen], kind="stable")]
+                size = np.cumsum([len(listed[k]) for k in chosen.tolist()])
+                new = np.flatnonzero(np.diff(of[chosen].astype(np.int64), prepend=-1))  # equal windows have equal minimisers
+                cuts = [0, *new[1:][np.diff(size[new] // RANKED) > 0].tolist(), len(chosen)]
+                first = np.concatenate([rank([listed[k] for k in chosen[a:b].tolist()], least[chosen[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])  # by window, string after string
+                rows = np.flatnonzero(several[sid])
+                length = np.zeros(len(numbers), np.int64)
+                length[sid] = n
+                begin = np.zeros(len(numbers), np.int64)
+                begin[chosen] = np.cumsum(length[chosen]) - length[chosen]
+                many = n[rows].astype(np.int64)
+                of = np.repeat(np.arange(len(rows)), many)
+                place = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                hit = np.flatnonzero(first[begin[sid[rows]][of] + place] < doc[rows][of])
+                found.append(_runs(doc[rows][of[hit]], at[rows][of[hit]].astype(np.int64) + place[hit], np.ones(len(hit), np.int64)))
         places: list[int] = []
         out: list[bytes] = []
         if found:
@@ -289,13 +369,16 @@ def remove_repeats(docs: DataFrame, *, width: int, words: bool, rank: Callable,
     repeat a key are one document for comparison: they never remove each other, and marks found in one hold for all.
     Columns named as an output are replaced; all others are kept.
     """
-    spark = docs.sparkSession
-    buckets = prime_above(8 * partitions(spark))
+    width_of = partitions(docs.sparkSession)
+    groups, buckets = prime_above(2 * width_of), width_of
     docs = docs.drop(*OUTPUTS, _PLACE, _BLOB)
-    used = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias(key), text)
-    pack = _pack(key, text, width, word_units if words else byte_units, WORD_CHUNK if words else BYTE_CHUNK, buckets)
-    strings = used.mapInArrow(pack, f"{_PLACE} int, {_BLOB} binary, marks boolean")
-    marks = strings.groupBy(_PLACE).applyInArrow(_settle(rank, buckets), f"{_PLACE} int, {_BLOB} binary")
-    placed = docs.withColumn(_PLACE, F.coalesce(F.pmod(F.col(key).cast("long"), F.lit(buckets)), F.pmod(F.xxhash64(text), F.lit(buckets))).cast("int"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.StringType() if words else T.BinaryType()), *(T.StructField(x, T.LongType()) for x in OUTPUTS[1:])])
+    place = F.coalesce(F.pmod(F.col(key).cast("long"), F.lit(groups)), F.pmod(F.xxhash64(text), F.lit(groups)))
+    placed = docs.withColumn(key, F.col(key).cast("long")).withColumn(_PLACE, place.cast("int"))
+    how = (key, text, width, word_units if words else byte_units, WORD_CHUNK if words else BYTE_CHUNK, buckets)
+    census = placed.groupBy(_PLACE).applyInArrow(_census(*how), f"bucket int, {_PLACE} int, {_BLOB} binary")
+    answers = census.groupBy("bucket").applyInArrow(_answer, f"{_PLACE} int, bucket int, {_BLOB} binary")
+    strings = placed.groupBy(_PLACE).cogroup(answers.groupBy(_PLACE)).applyInArrow(_pack(*how), f"bucket int, {_BLOB} binary, marks boolean")
+    marks = strings.groupBy("bucket").applyInArrow(_settle(rank, groups), f"{_PLACE} int, {_BLOB} binary")
+    fields = [f for f in placed.schema.fields if f.name != _PLACE]
+    schema = T.StructType([*fields, T.StructField("kept", T.StringType() if words else T.BinaryType()), *(T.StructField(x, T.LongType()) for x in OUTPUTS[1:])])
     return placed.groupBy(_PLACE).cogroup(marks.groupBy(_PLACE)).applyInArrow(_apply(key, text, width, words), schema)

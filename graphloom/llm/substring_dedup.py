@@ -23,8 +23,8 @@ def window_names(numbers: np.ndarray, width: int) -> np.ndarray:
 
 
 def rank_words(width: int):
-    def rank(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-        """For each window of each packed string, the first document that has it."""
+    def rank(strings: list[bytes], docs: np.ndarray) -> np.ndarray:
+        """For each window, string after string, the first document that has it."""
         words: list[bytes] = []
         counts = np.zeros(len(strings), np.int64)
         for k, s in enumerate(strings):
@@ -36,7 +36,7 @@ def rank_words(width: int):
         inside = np.flatnonzero(of[: len(names)] == of[width - 1 :])
         least = np.full(int(names.max(initial=0)) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, names[inside], docs[of[inside]])
-        return np.split(least[names[inside]], np.cumsum(counts - width + 1)[:-1])
+        return least[names[inside]]
 
     return rank
 

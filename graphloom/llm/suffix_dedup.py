@@ -38,6 +38,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n < 8:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
+    if int(s.max()) > max(n, 256):
+        s = np.unique(s, return_inverse=True)[1] + 1
     t = np.concatenate([s, [0, 0, 0]])
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
@@ -77,8 +79,8 @@ def equal_prefixes(packed: bytes, a: np.ndarray, b: np.ndarray, width: int) -> n
 
 
 def rank_bytes(width: int):
-    def rank(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-        """For each window of each packed string, the first document that has it."""
+    def rank(strings: list[bytes], docs: np.ndarray) -> np.ndarray:
+        """For each window, string after string, the first document that has it."""
         packed = b"".join(strings)
         counts = np.fromiter(map(len, strings), np.int64, len(strings))
         of = np.repeat(np.arange(len(strings)), counts)
@@ -91,7 +93,7 @@ def rank_bytes(width: int):
         head = np.flatnonzero(new)
         least = np.zeros(len(packed), np.int64)
         least[order] = np.repeat(np.minimum.reduceat(docs[of[order]], head), np.diff(np.append(head, len(order))))
-        return np.split(least[inside], np.cumsum(counts - width + 1)[:-1])
+        return least[inside]
 
     return rank
 
