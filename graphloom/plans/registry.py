@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.plans import normalise
+from graphloom.plans import markdown, normalise
 
-MODULES = (normalise,)
+MODULES = (normalise, markdown)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
