@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import tables, urls
 from graphloom.operators import markdown as md
-from graphloom.plans.base import duck, quoted, rows, table
+from graphloom.plans.base import duck, quoted, rows
 
 _K = "CAST(c_custkey AS STRING)"
 _N = "chr(10)"

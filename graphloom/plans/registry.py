@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.plans import markdown, normalise
+from graphloom.plans import markdown, normalise, openapi
 
-MODULES = (normalise, markdown)
+MODULES = (normalise, markdown, openapi)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
