@@ -11,20 +11,24 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+_NAMED = re.compile(rf"@({'|'.join(TABLES)})\b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run shared input SQL on Spark."""
-    for name in set(re.findall(r"@(\w+)", sql)):
+    for name in set(_NAMED.findall(sql)):
         table(spark, sf_dir, name).createOrReplaceTempView(f"graphloom_{name}")
-    return spark.sql(re.sub(r"@(\w+)", r"graphloom_\1", sql))
+    return spark.sql(_NAMED.sub(r"graphloom_\1", sql))
 
 
 def duck(sql: str) -> str:
     """The same input SQL for the oracle."""
-    return re.sub(r"@(\w+)", r"\1", sql)
+    return _NAMED.sub(r"\1", sql)
 
 
 def quoted(text: str) -> str:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.plans import markdown, normalise, openapi
+from graphloom.plans import java, markdown, normalise, openapi
 
-MODULES = (normalise, markdown, openapi)
+MODULES = (normalise, markdown, openapi, java)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
