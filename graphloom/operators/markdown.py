@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from graphloom.functions import urls
+from graphloom.functions import listscan, urls
 from graphloom.functions.names import strip
 
 #: What ends a line: all that Unicode counts as a line boundary.
@@ -152,6 +156,30 @@ def lists(rows: DataFrame) -> DataFrame:
     return runs.groupBy("doc_id", "run").agg(F.min("line").alias("start"), F.max("line").alias("end"), F.first("kind").alias("kind"), F.count("*").alias("n_items"), first.alias("preview"), F.coalesce(start, F.lit(1)).alias("first_number")).drop("run")
 
 
+@F.pandas_udf(T.StringType())
+def _scan_lists(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: json.dumps(listscan.scan(t)))
+
+
+def nested_lists(docs: DataFrame) -> DataFrame:
+    """Top-level lists with the number of their own and of all items; see :mod:`graphloom.functions.listscan`."""
+    shape = "array<struct<start:int,`end`:int,kind:string,n_items:int,n_total:int,preview:string,first_number:int>>"
+    return docs.select("doc_id", F.inline(F.from_json(_scan_lists("text"), shape)))
+
+
+def heading_pages(headings: DataFrame, sections: DataFrame, pages: DataFrame) -> DataFrame:
+    """Page ranges of named sections, from the first page of the heading that a section's name (after its number) is
+    made of to the page on which the next one begins.
+
+    ``headings`` are (doc_id, heading, page), ``sections`` (doc_id, pos, name), ``pages`` (doc_id, n_pages).
+    """
+    key = F.substr(F.regexp_replace(F.regexp_replace(F.lower("heading"), "[^a-z0-9]+", "_"), "^_+|_+$", ""), F.lit(1), F.lit(80))
+    first = headings.withColumn("key", key).groupBy("doc_id", "key").agg(F.min("page").alias("from"))
+    named = sections.withColumn("key", F.regexp_replace("name", r"^\d+_", "")).join(first, ["doc_id", "key"])
+    after = F.lead("from").over(_by("pos"))
+    return named.withColumn("after", after).join(pages, "doc_id").select("doc_id", "name", "from", F.coalesce("after", "n_pages").alias("to"))
+
+
 def is_paragraph_line(text: Column) -> Column:
     return (text != "") & ~text.startswith("#") & ~text.rlike(LIST_ITEM) & ~text.contains("|") & ~text.rlike(FENCE) & ~text.startswith(">") & ~text.rlike("^[-*_]{3,}$")
 

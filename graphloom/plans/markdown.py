@@ -45,6 +45,10 @@ TARGETS = """SELECT page_id, CASE page_id % 9 WHEN 0 THEN url WHEN 1 THEN '../do
   WHEN 5 THEN 'mailto:abc' WHEN 6 THEN '#a?b' WHEN 7 THEN 'img/' || CAST(page_id AS STRING) || '.png' ELSE '.md' END AS url FROM @pages"""
 
 
+PAGED = "SELECT l_suppkey AS doc_id, 'Part ' || CAST(l_linenumber AS STRING) || '.' AS heading, 1 + CAST(l_partkey % 7 AS INT) AS page FROM @lineitem"
+NAMED = "SELECT s_suppkey AS doc_id, 3 AS pos, '03_part_5' AS name FROM @supplier UNION ALL SELECT s_suppkey, 1, '01_part_2' FROM @supplier UNION ALL SELECT s_suppkey, 2, '02_gone' FROM @supplier"
+
+
 def doc_rows(spark, d):
     return rows(spark, d, DOCS)
 
@@ -172,6 +176,8 @@ QUERIES = {
     "md_tables": lambda spark, d: md.tables(line_rows(spark, d)).withColumn("headers", joined("headers")).withColumn("alignment", joined("alignment")).withColumn("preview", joined("preview", ";")),
     "md_table_alignment": lambda spark, d: md.tables(line_rows(spark, d)).select("doc_id", "start", F.posexplode("alignment").alias("column", "alignment")),
     "md_lists": lambda spark, d: md.lists(line_rows(spark, d)),
+    "md_nested_lists": lambda spark, d: md.nested_lists(doc_rows(spark, d)),
+    "md_heading_pages": lambda spark, d: md.heading_pages(rows(spark, d, PAGED), rows(spark, d, NAMED), rows(spark, d, "SELECT s_suppkey AS doc_id, 9 AS n_pages FROM @supplier")),
     "md_paragraphs": lambda spark, d: md.paragraphs(line_rows(spark, d)),
     "md_codeblocks": lambda spark, d: md.code_blocks(line_rows(spark, d)),
     "md_links": lambda spark, d: md.inline_links(line_rows(spark, d)),
@@ -206,6 +212,7 @@ ORACLES = {
     "md_tables": f"SELECT * REPLACE (array_to_string(headers, '|') AS headers, array_to_string(alignment, '|') AS alignment, array_to_string(preview, ';') AS preview, CAST(n_rows AS INTEGER) AS n_rows, CAST(n_columns AS INTEGER) AS n_columns) FROM ({D_TABLES})",
     "md_table_alignment": f"SELECT doc_id, start, CAST(k - 1 AS INTEGER) AS column, alignment[k] AS alignment FROM (SELECT doc_id, start, alignment, unnest(range(1, len(alignment) + 1)) AS k FROM ({D_TABLES}))".replace(" AS column", ' AS "column"'),
     "md_lists": D_LISTS,
+    "md_heading_pages": f"""SELECT doc_id, name, "from", coalesce(lead("from") OVER (PARTITION BY doc_id ORDER BY pos), 9) AS "to" FROM (SELECT n.doc_id, n.pos, n.name, min(p.page) AS "from" FROM ({duck(NAMED)}) n JOIN ({duck(PAGED)}) p ON p.doc_id = n.doc_id AND trim(regexp_replace(lower(p.heading), '[^a-z0-9]+', '_', 'g'), '_') = regexp_replace(n.name, '^[0-9]+_', '') GROUP BY ALL)""",
     "md_paragraphs": f"SELECT * REPLACE (CAST(n_words AS INTEGER) AS n_words) FROM ({D_PARAGRAPHS})",
     "md_codeblocks": D_CODE,
     "md_links": D_LINKS,

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.plans import extract, java, markdown, normalise, openapi
+from graphloom.plans import extract, java, markdown, normalise, openapi, whole
 
-MODULES = (normalise, markdown, openapi, java, extract)
+MODULES = (normalise, markdown, openapi, java, extract, whole)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
