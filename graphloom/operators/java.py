@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.functions import java
+from graphloom.functions.checkpoints import checkpoint
 from graphloom.functions.names import lookup
 
 # Annotations that decide what a Spring component is, by priority, and what HTTP methods they stand for.
@@ -39,8 +40,13 @@ def _read(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: json.dumps(java.read(t)))
 
 
-def parse(files: DataFrame) -> DataFrame:
-    return files.withColumn("j", F.from_json(_read("text"), SHAPE)).withColumn("package", F.col("j.package")).drop("text")
+def parse(files: DataFrame, keep: bool = False) -> DataFrame:
+    """Files with their parse tree. Parsing is what costs here, so files are dealt to all cores first; with ``keep`` the
+    trees are written to the shared checkpoint folder, for plans that read them more than once."""
+    width = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = files.repartition(width, "repository", "path").withColumn("j", _read("text")).drop("text")
+    made = checkpoint(made) if keep else made
+    return made.withColumn("j", F.from_json("j", SHAPE)).withColumn("package", F.col("j.package"))
 
 
 def visibility(modifiers: Column) -> Column:

@@ -130,10 +130,12 @@ def schema_name(ref: Column) -> Column:
 def reached_schemas(specs: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
     """Schemas that JSON texts (``body``) refer to, directly or through other components, a bounded number of steps on."""
     kinds = ("parameters", "requestBodies", "responses", "securitySchemes")
-    every = None
-    for kind in kinds:
-        part = components(specs, kind).select("spec", F.concat(F.lit(f"#/components/{kind}/"), "name").alias("ref"), F.col("body").alias("next"))
-        every = part if every is None else every.union(part)
+
+    def named(kind: str) -> Column:
+        entries = F.coalesce(F.map_entries(f"s.components.{kind}"), F.array().cast("array<struct<key:string,value:string>>"))
+        return F.transform(entries, lambda e: F.struct(F.concat(F.lit(f"#/components/{kind}/"), e["key"]).alias("ref"), e["value"].alias("next")))
+
+    every = parsed(specs).select("spec", F.inline(F.flatten(F.array(*map(named, kinds))))).where(F.col("next").startswith("{"))
     step = texts.select(*keys, F.explode(refs(F.col("body"))).alias("ref")).distinct()
     found = step
     for _ in range(FOLLOWED):
@@ -142,14 +144,20 @@ def reached_schemas(specs: DataFrame, texts: DataFrame, keys: list[str]) -> Data
     return found.withColumn("target", schema_name(F.col("ref"))).where("target IS NOT NULL").select(*keys, "target").distinct()
 
 
+def call_schemas(specs: DataFrame) -> DataFrame:
+    """RETURNS and ACCEPTS edges of endpoints, in one pass over the references."""
+    calls = endpoints(specs)
+    bodies = calls.select("spec", "method", "path", F.lit("RETURNS").alias("type"), F.explode("op.responses").alias("status", "body")).drop("status")
+    bodies = bodies.union(calls.select("spec", "method", "path", F.lit("ACCEPTS"), "op.requestBody")).where("body IS NOT NULL")
+    return reached_schemas(specs, bodies, ["spec", "method", "path", "type"])
+
+
 def returns(specs: DataFrame) -> DataFrame:
-    calls = endpoints(specs).select("spec", "method", "path", F.explode("op.responses").alias("status", "body"))
-    return reached_schemas(specs, calls, ["spec", "method", "path"])
+    return call_schemas(specs).where("type = 'RETURNS'").drop("type")
 
 
 def accepts(specs: DataFrame) -> DataFrame:
-    calls = endpoints(specs).select("spec", "method", "path", F.col("op.requestBody").alias("body")).where("body IS NOT NULL")
-    return reached_schemas(specs, calls, ["spec", "method", "path"])
+    return call_schemas(specs).where("type = 'ACCEPTS'").drop("type")
 
 
 def schema_references(specs: DataFrame) -> DataFrame:
@@ -174,8 +182,7 @@ def edges(specs: DataFrame) -> DataFrame:
     """All edges of the specifications in one table."""
     call = F.concat_ws(" ", "method", "path").alias("source")
     return (
-        returns(specs).select("spec", call, "target", F.lit("RETURNS").alias("type")).union(accepts(specs).select("spec", call, "target", F.lit("ACCEPTS")))
-        .union(schema_references(specs).select("spec", "source", "target", F.lit("REFERENCES_SCHEMA"))).union(parameter_edges(specs).select("spec", call, F.col("name"), F.lit("HAS_PARAMETER")))
+        call_schemas(specs).select("spec", call, "target", "type").union(schema_references(specs).select("spec", "source", "target", F.lit("REFERENCES_SCHEMA"))).union(parameter_edges(specs).select("spec", call, F.col("name"), F.lit("HAS_PARAMETER")))
         .union(security_edges(specs).select("spec", call, F.col("scheme"), F.lit("REQUIRES_SECURITY")))
     )
 

@@ -30,6 +30,22 @@ def found(spark, d):
     return jv.types(jv.parse(files(spark, d)))
 
 
+def both(spark, d):
+    """Types and imports of one parse."""
+    parsed = jv.parse(files(spark, d), keep=True)
+    return jv.types(parsed), jv.imports(parsed)
+
+
+def members(spark, d):
+    types, _ = both(spark, d)
+    return jv.methods(types).unionByName(jv.constructors(types))
+
+
+def resolved(spark, d):
+    types, _ = both(spark, d)
+    return jv.resolve_names(jv.inheritance(types).where("type = 'EXTENDS'"), types)
+
+
 def imported(spark, d):
     return jv.imports(jv.parse(files(spark, d)))
 
@@ -40,15 +56,15 @@ QUERIES = {
     "java_fields": lambda spark, d: jv.fields(found(spark, d)).select("path", "owner", "name", "type", "visibility", "static"),
     "java_methods": lambda spark, d: jv.methods(found(spark, d)).select("path", "owner", "name", "type", "visibility", "has_body"),
     "java_constructors": lambda spark, d: jv.constructors(found(spark, d)).select("path", "owner", F.size("parameters").alias("n_parameters")),
-    "java_parameters": lambda spark, d: jv.parameters(jv.methods(found(spark, d)).unionByName(jv.constructors(found(spark, d)))).select("path", "member", "name", "type", "position", "variadic"),
+    "java_parameters": lambda spark, d: jv.parameters(members(spark, d)).select("path", "member", "name", "type", "position", "variadic"),
     "java_calls": lambda spark, d: jv.calls(jv.methods(found(spark, d))).select("path", "source", "target", "resolved", "constructor"),
     "java_inheritance": lambda spark, d: jv.inheritance(found(spark, d)).select("path", "source", "target", "type"),
-    "java_injections": lambda spark, d: jv.injections(found(spark, d)).select("path", "source", "target", "injection", "member"),
+    "java_injections": lambda spark, d: jv.injections(both(spark, d)[0]).select("path", "source", "target", "injection", "member"),
     "java_spring": lambda spark, d: jv.spring_components(found(spark, d)).select("path", "component", F.array_join("paths", "|").alias("paths"), F.array_join("http_methods", "|").alias("http_methods")),
-    "java_annotations": lambda spark, d: jv.resolve_annotations(found(spark, d), imported(spark, d)).select("path", "target_kind", "target", "full_name"),
+    "java_annotations": lambda spark, d: jv.resolve_annotations(*both(spark, d)).select("path", "target_kind", "target", "full_name"),
     "java_annotation_attributes": lambda spark, d: rows(spark, d, "SELECT p_partkey, 'value = \"/a,' || p_brand || '\", method = {A, B}, n=' || CAST(p_size AS STRING) AS v FROM @part").select("p_partkey", F.array_join(F.transform(F.map_entries(jv.annotation_attributes(F.col("v"))), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("attributes")),
-    "java_import_edges": lambda spark, d: jv.import_edges(found(spark, d), imported(spark, d)),
-    "java_name_resolution": lambda spark, d: jv.resolve_names(jv.inheritance(found(spark, d)).where("type = 'EXTENDS'"), found(spark, d)).select("path", "full_target", "target_module"),
+    "java_import_edges": lambda spark, d: jv.import_edges(*both(spark, d)),
+    "java_name_resolution": lambda spark, d: resolved(spark, d).select("path", "full_target", "target_module"),
     "java_packages": lambda spark, d: jv.packages(found(spark, d)),
     "java_summary": lambda spark, d: jv.summary(files(spark, d), found(spark, d)),
 }

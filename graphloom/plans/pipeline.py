@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions.checkpoints import checkpoint
 from graphloom.operators import entities, relationships
 
 
@@ -23,13 +24,14 @@ def build(raw_entities: DataFrame, raw_edges: DataFrame, rules: tuple = (entitie
 
     ``raw_entities`` have name, type, source_parser, confidence and pos; ``raw_edges`` source, target, relation,
     confidence and pos. A rule takes entities and returns (left, right, score, reason).
+    Canonical entities and nodes, which all later steps read, are written to the shared checkpoint folder.
     """
-    canonical = entities.merge(entities.canonicalise(raw_entities)).withColumnRenamed("canonical_id", "id")
+    canonical = checkpoint(entities.merge(entities.canonicalise(raw_entities)).withColumnRenamed("canonical_id", "id"))
     links = None
     for rule in rules:
         found = rule(canonical)
         links = found if links is None else links.union(found)
-    nodes = canonical if links is None else entities.deduplicate(canonical, links)
+    nodes = canonical if links is None else checkpoint(entities.deduplicate(canonical, links))
     index = nodes.withColumn("pos", F.xxhash64("id"))
     edges = relationships.merge_edges(relationships.normalise_relationships(raw_edges, index))
     return Graph(canonical, nodes, edges, relationships.graph_statistics(nodes, edges))
