@@ -8,10 +8,13 @@ decides exactly, on the units themselves, in which document a window starts firs
 Texts are dealt once into groups of a few MB by their key; every step below reads that one exchange.
 
 1. ``_census`` (by group): the distinct minimisers of the group, four bytes each, go to their buckets.
-2. ``_answer`` (by bucket): one bit a minimiser comes back: does another group have it? All others need not travel.
+2. ``_answer`` (by bucket): two bits a minimiser come back: does another group have it (all others need not travel), and
+   do very many?
 3. ``_pack`` (by group): super-k-mers whose minimiser is shared travel to its bucket. Equal packed strings of a group
    are combined before: the group's first document travels, later ones are marked at once, so a passage that a third of
-   all rows share costs one string a group.
+   all rows share costs one string a group. Where a popular minimiser stands at the edge of such a passage, the strings
+   differ in each document; its windows are therefore dealt one by one, by a hash of the whole window, so that no
+   bucket gets more than a few documents' worth of strings that no combining makes fewer.
 4. ``_settle`` (by bucket): equal strings are combined across groups; what is left is compared window by window through
    the ``rank`` function given (sorted names for words, a suffix array for bytes).
 5. ``_apply`` (by group): marks meet their texts, and the uncovered units are kept.
@@ -37,6 +40,9 @@ WORD_GRAM, BYTE_GRAM = 4, 16
 WORD_CHUNK, BYTE_CHUNK = 6 << 20, 3 << 20
 #: Bytes of packed strings, of whole minimisers, that are ranked together.
 RANKED = 1 << 17
+#: Groups of texts, of some MB each, beyond which a minimiser counts as popular. Up to it a bucket holds the strings of
+#: that many groups at most; beyond it windows travel alone, which takes several times the bytes for what is popular.
+HEAVY = 1024
 OUTPUTS = ("kept", "n_units", "n_removed", "n_spans")
 _PLACE, _BLOB = "__gl_place", "__gl_blob"
 
@@ -179,20 +185,32 @@ def _census(key: str, text: str, width: int, units: Callable, limit: int, bucket
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """For each group of texts, a bit for each of its tags: does another group have it?"""
-    blobs = table.column(_BLOB).to_pylist()
-    tags = np.concatenate([np.frombuffer(x, "<u4") for x in blobs])
-    order = np.argsort(tags, kind="stable")
-    same = np.zeros(len(tags) + 1, bool)
-    same[1:-1] = tags[order[1:]] == tags[order[:-1]]
-    shared = np.zeros(len(tags), bool)
-    shared[order] = same[1:] | same[:-1]
-    ends = np.cumsum([len(x) // 4 for x in blobs])
-    return pa.table([table.column(_PLACE), table.column("bucket"), pa.array([np.packbits(x).tobytes() for x in np.split(shared, ends[:-1])], pa.binary())], [_PLACE, "bucket", _BLOB])
+def _answer(heavy: int) -> Callable:
+    """For each group of texts, two bits for each of its tags: does another group have it, and do more than ``heavy``?"""
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = table.column(_BLOB).to_pylist()
+        tags = np.concatenate([np.frombuffer(x, "<u4") for x in blobs])
+        _, inverse, count = np.unique(tags, return_inverse=True, return_counts=True)  # a group names a tag once
+        groups = np.split(count[inverse], np.cumsum([len(x) // 4 for x in blobs])[:-1])
+        made = [np.packbits(n > 1).tobytes() + np.packbits(n > heavy).tobytes() for n in groups]
+        return pa.table([table.column(_PLACE), table.column("bucket"), pa.array(made, pa.binary())], [_PLACE, "bucket", _BLOB])
+
+    return run
+
+
+def word_windows(string: bytes, width: int) -> list[bytes]:
+    words = string.split(b" ")
+    return [b" ".join(words[k : k + width]) for k in range(len(words) - width + 1)]
+
+
+def byte_windows(string: bytes, width: int) -> list[bytes]:
+    return [string[k : k + width] for k in range(len(string) - width + 1)]
 
 
 def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets: int) -> Callable:
+    cut = word_windows if units is word_units else byte_windows
+
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _sorted_texts(docs, key, text) if docs.num_rows else (np.zeros(0, np.int64), [])
         parts, pieces = [], []
@@ -203,10 +221,12 @@ def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets:
         if parts:
             doc, at, n, low = (np.concatenate(x) for x in zip(*parts, strict=True))
             distinct, inverse, cuts = _distinct_tags(low, buckets)
-            shared = np.zeros(len(distinct), bool)
+            shared, heavy = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
             bits = dict(zip(answers.column("bucket").to_pylist(), answers.column(_BLOB).to_pylist(), strict=True))
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(distinct)], strict=True):
-                shared[a:b] = np.unpackbits(np.frombuffer(bits[int(distinct[a] >> U64(32))], np.uint8), count=b - a).astype(bool)
+                both = np.frombuffer(bits[int(distinct[a] >> U64(32))], np.uint8)
+                shared[a:b] = np.unpackbits(both[: len(both) // 2], count=b - a).astype(bool)
+                heavy[a:b] = np.unpackbits(both[len(both) // 2 :], count=b - a).astype(bool)
             least, most = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
             np.minimum.at(least, inverse, doc)
             np.maximum.at(most, inverse, doc)
@@ -217,8 +237,20 @@ def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets:
                 mine = np.flatnonzero(use[base : base + len(a)])
                 strings += [packed[x:y] for x, y in zip(a[mine].tolist(), b[mine].tolist(), strict=True)]
                 base += len(a)
-            doc, at, n = doc[use], at[use], n[use]
-            place, tag = _tags(low[use], buckets)
+            doc, at, n, low, split = doc[use], at[use], n[use], low[use], heavy[inverse[use]]
+            if split.any():  # windows of a popular minimiser travel one by one, each to a bucket of its own content
+                rows = np.flatnonzero(split)
+                windows = [w for k in rows.tolist() for w in cut(strings[k], width)]
+                many = n[rows]
+                inside = np.arange(len(windows)) - np.repeat(np.cumsum(many) - many, many)
+                keep = np.flatnonzero(~split)
+                strings = [strings[k] for k in keep.tolist()] + windows
+                doc, at = np.append(doc[keep], np.repeat(doc[rows], many)), np.append(at[keep], np.repeat(at[rows], many) + inside).astype("<i4")
+                n = np.append(n[keep], np.ones(len(windows))).astype("<i4")
+                low = np.append(low[keep], np.fromiter(map(xxhash.xxh64_intdigest, windows), U64, len(windows)))
+                order = np.lexsort((at, doc))
+                strings, doc, at, n, low = [strings[k] for k in order.tolist()], doc[order], at[order], n[order], low[order]
+            place, tag = _tags(low, buckets)
             seen: dict[bytes, int] = {}
             earliest = np.fromiter(map(seen.setdefault, strings, doc.tolist()), np.int64, len(strings))
             later = earliest < doc
@@ -361,7 +393,7 @@ def prime_above(n: int) -> int:
     return n
 
 
-def remove_repeats(docs: DataFrame, *, width: int, words: bool, rank: Callable, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int, words: bool, rank: Callable, key: str = "doc_id", text: str = "text", heavy: int = HEAVY) -> DataFrame:
     """Every row of ``docs`` with ``kept`` (what is left of its text), ``n_units``, ``n_removed`` and ``n_spans``.
 
     A unit goes if a window of ``width`` units that covers it also starts in a row with a smaller ``key``; windows are
@@ -376,7 +408,7 @@ def remove_repeats(docs: DataFrame, *, width: int, words: bool, rank: Callable,
     placed = docs.withColumn(key, F.col(key).cast("long")).withColumn(_PLACE, place.cast("int"))
     how = (key, text, width, word_units if words else byte_units, WORD_CHUNK if words else BYTE_CHUNK, buckets)
     census = placed.groupBy(_PLACE).applyInArrow(_census(*how), f"bucket int, {_PLACE} int, {_BLOB} binary")
-    answers = census.groupBy("bucket").applyInArrow(_answer, f"{_PLACE} int, bucket int, {_BLOB} binary")
+    answers = census.groupBy("bucket").applyInArrow(_answer(heavy), f"{_PLACE} int, bucket int, {_BLOB} binary")
     strings = placed.groupBy(_PLACE).cogroup(answers.groupBy(_PLACE)).applyInArrow(_pack(*how), f"bucket int, {_BLOB} binary, marks boolean")
     marks = strings.groupBy("bucket").applyInArrow(_settle(rank, groups), f"{_PLACE} int, {_BLOB} binary")
     fields = [f for f in placed.schema.fields if f.name != _PLACE]

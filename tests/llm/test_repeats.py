@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from graphloom.llm.substring_dedup import substring_dedup, window_names  # noqa: E402
-from graphloom.llm.suffix_dedup import suffix_array, suffix_dedup  # noqa: E402
+from graphloom.llm.packed import remove_repeats  # noqa: E402
+from graphloom.llm.substring_dedup import rank_words, substring_dedup, window_names  # noqa: E402
+from graphloom.llm.suffix_dedup import rank_bytes, suffix_array, suffix_dedup  # noqa: E402
 
 
 def rows(seed, letters="ab"):
@@ -41,6 +42,16 @@ def test_against_brute_force(spark, words, letters):
     assert sorted(map(tuple, got)) == brute.repeats(data, 13 if words else 50, words)
 
 
+@pytest.mark.parametrize("words", [True, False])
+def test_popular_minimisers(spark, words):
+    data = rows(7, "abcdefgh")
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    rank = rank_words(13) if words else rank_bytes(50)
+    got = remove_repeats(docs, width=13 if words else 50, words=words, rank=rank, heavy=1)
+    got = got.select("doc_id", "n_units", "n_removed", "n_spans", F.sha2(F.col("kept").cast("binary"), 256)).collect()
+    assert sorted(map(tuple, got)) == brute.repeats(data, 13 if words else 50, words)
+
+
 @pytest.mark.parametrize("f", [substring_dedup, suffix_dedup])
 def test_edge_rows(spark, f):
     long = " ".join(f"w{k}" for k in range(40))
