@@ -23,6 +23,8 @@ COSINE = 0.93
 NEAREST, SHARED = 10, 2
 #: Bounds of the number of pivots, which follows the square root of the number of different vectors.
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
+#: Cosine below which pivots are to each other.
+APART = 0.8
 #: Vectors of an inverted list that one block holds; longer lists are verified block against block.
 BLOCK = 1024
 
@@ -33,10 +35,18 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def pivots_of(sample: list[np.ndarray], dim: int, number: int) -> np.ndarray:
-    """The sampled vectors of a dimension; if there are none, random directions from a fixed seed."""
+def pivots_of(sample: list[np.ndarray], dim: int) -> np.ndarray:
+    """The sampled vectors of a dimension, without those near an earlier one, and random directions if they are few.
+
+    A crowd of like vectors would else fill the sample, and its members' nearest pivots would be a matter of chance.
+    """
     own = [v for v in sample if len(v) == dim]
-    return unit(np.array(own)) if own else unit(np.random.default_rng(dim).standard_normal((number, dim)))
+    kept = np.zeros((0, dim))
+    for v in unit(np.array(own)) if own else []:
+        if not len(kept) or (kept @ v).max() < APART:
+            kept = np.vstack([kept, v])
+    more = max(0, LEAST_PIVOTS - len(kept))
+    return np.vstack([kept, unit(np.random.default_rng(dim).standard_normal((more, dim)))])
 
 
 def describe(points: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
@@ -49,7 +59,7 @@ def describe(points: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray
     return out
 
 
-def _describe(sample: list[np.ndarray], number: int, nearest: int):
+def _describe(sample: list[np.ndarray], nearest: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -58,7 +68,7 @@ def _describe(sample: list[np.ndarray], number: int, nearest: int):
             for dim in {len(v) for v in rows}:
                 own = [k for k, v in enumerate(rows) if len(v) == dim]
                 if dim not in known:
-                    known[dim] = pivots_of(sample, dim, number)
+                    known[dim] = pivots_of(sample, dim)
                 for k, p in zip(own, describe(unit(np.array([rows[k] for k in own])), known[dim], nearest), strict=True):
                     found[k] = p[p >= 0].tolist()
             arrays = [batch.column(c) for c in ("label", "rep", "weight")] + [pa.array([v.tobytes() for v in rows], pa.binary()), pa.array(found, pa.list_(pa.int32()))]
@@ -148,7 +158,7 @@ def embedding_groups(rows: DataFrame, cosine: float = COSINE, nearest: int = NEA
     nodes = checkpoint(rows.where("embedding IS NOT NULL").groupBy("label", "embedding").agg(F.min(key).alias("rep"), F.count("*").alias("weight")))
     number = int(min(max(LEAST_PIVOTS, 4 * nodes.count() ** 0.5), MOST_PIVOTS))
     sample = [np.array(r[0], np.float64) for r in nodes.orderBy(F.xxhash64("rep"), "rep").limit(number).select("embedding").collect()]
-    described = checkpoint(nodes.mapInArrow(_describe(sample, number, nearest), "label long, rep long, weight long, vector binary, pivots array<int>"))
+    described = checkpoint(nodes.mapInArrow(_describe(sample, nearest), "label long, rep long, weight long, vector binary, pivots array<int>"))
     entries = described.withColumn("dim", F.length("vector")).withColumn("pivot", F.explode("pivots"))
     lists = ["label", "dim", "pivot"]
     long = entries.groupBy(*lists).count().where(F.col("count") > BLOCK).select(*lists, F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
