@@ -143,6 +143,44 @@ def tables(rows: DataFrame, preview: int = 3) -> DataFrame:
     )
 
 
+def gfm_tables(rows: DataFrame) -> DataFrame:
+    """Runs of lines with pipes whose second line is a separator: the first is the header, and every row is padded or cut
+    to its width."""
+    runs = islands(rows, is_table_line(F.col("text"))).groupBy("doc_id", "run").agg(F.min("line").alias("start"), F.array_sort(F.collect_list(F.struct("line", "raw"))).alias("ls"))
+    out = runs.where(F.get("ls", F.lit(1))["raw"].rlike(SEPARATOR)).withColumn("headers", cells(F.get("ls", F.lit(0))["raw"]))
+    places = F.sequence(F.lit(0), F.size("headers") - 1)
+    padded = F.transform(F.slice("ls", F.lit(3), F.size("ls")), lambda r: F.transform(places, lambda k: F.coalesce(F.get(cells(r["raw"]), k), F.lit(""))))
+    return out.select("doc_id", "start", "headers", padded.alias("rows"))
+
+
+def next_references(refs: DataFrame) -> DataFrame:
+    """References in the order of their lines, and in a line of their kinds, with the line of the next one."""
+    return refs.withColumn("next", F.lead("line").over(_by("line", "order", "nth")))
+
+
+def edges(docs: DataFrame) -> DataFrame:
+    """All edges of documents: ``doc_id``, ``type``, ``source`` and ``target`` as lines (null for the document)."""
+    rows = lines(docs)
+    found, heads, refs = parents(sections(rows)), headings(rows), references(rows)
+    edge = lambda f, kind, a, b: f.select("doc_id", F.lit(kind).alias("type"), a.cast("int").alias("source"), b.cast("int").alias("target"))
+    c, whole = F.col, F.lit(None)
+    made = [
+        edge(document_sections(found), "CONTAINS", whole, c("start")), edge(found.where("parent IS NOT NULL"), "PARENT_SECTION", c("start"), c("parent")),
+        edge(siblings(found).where("next IS NOT NULL"), "NEXT_SIBLING", c("start"), c("next")), edge(first_children(found), "FIRST_CHILD", c("parent"), c("child")),
+        edge(titles(found, heads), "TITLED_BY", c("start"), c("heading")), edge(frontmatter(docs), "HAS_FRONTMATTER", whole, F.lit(1)),
+        edge(first_container(refs, found), "REFERENCES", c("container"), c("line")), edge(anchor_links(refs, found), "LINKS_TO", c("line"), c("section")),
+        edge(next_references(refs).where("next IS NOT NULL"), "NEXT_REFERENCE", c("line"), c("next")),
+    ]
+    for kind, f in (("HEADING", heads.withColumnRenamed("line", "start")), ("TABLE", tables(rows)), ("LIST", lists(rows)), ("PARAGRAPH", paragraphs(rows)), ("CODE", code_blocks(rows))):
+        made.append(edge(section_of(found, f.select("doc_id", "start")), f"HAS_{kind}", c("section"), c("start")))
+        if kind in ("HEADING", "TABLE", "LIST"):
+            made.append(edge(next_of(f.select("doc_id", "start"), "start").where("next IS NOT NULL"), f"NEXT_{kind}", c("start"), c("next")))
+    out = made[0]
+    for f in made[1:]:
+        out = out.union(f)
+    return out
+
+
 def list_kind(text: Column) -> Column:
     return F.when(text.rlike(r"^[-*+]\s+"), "unordered").when(text.rlike(r"^\d+[.)]\s+"), "ordered")
 

@@ -157,6 +157,19 @@ def d_next(source: str) -> str:
     return f"SELECT doc_id, start, lead(start) OVER (PARTITION BY doc_id ORDER BY start) AS next FROM ({source})"
 
 
+_ALL = {
+    "CONTAINS": f"SELECT 0 AS source, start AS target FROM ({D_SECTIONS}) WHERE level = 1", "PARENT_SECTION": f"SELECT start, parent FROM ({D_PARENTS}) WHERE parent IS NOT NULL",
+    "NEXT_SIBLING": f"SELECT start, lead(start) OVER (PARTITION BY doc_id, parent ORDER BY start) FROM ({D_PARENTS})", "FIRST_CHILD": f"SELECT parent, min(start) FROM ({D_PARENTS}) WHERE parent IS NOT NULL GROUP BY doc_id, parent",
+    "TITLED_BY": f"SELECT s.start, min(h.line) FROM ({D_SECTIONS}) s JOIN ({D_HEADS}) h ON h.doc_id = s.doc_id AND abs(h.line - s.start) <= 2 GROUP BY s.doc_id, s.start",
+    "HAS_FRONTMATTER": f"SELECT 0, 1 FROM ({D_DOCS}) WHERE starts_with(text, '---')",
+    "REFERENCES": f"""SELECT s.start, r.line FROM ({D_REFS}) r JOIN ({D_SECTIONS}) s ON s.doc_id = r.doc_id AND r.line BETWEEN s.start AND s."end" """,
+    "LINKS_TO": f"SELECT line, start FROM ({D_REFS}) r JOIN ({D_SECTIONS}) s ON s.doc_id = r.doc_id AND r.url = '#' || slug WHERE {d_anchor('url')}",
+    "NEXT_REFERENCE": f"SELECT line, lead(line) OVER (PARTITION BY doc_id ORDER BY line) FROM ({D_REFS})",
+    "NEXT_HEADING": f"SELECT line, lead(line) OVER (PARTITION BY doc_id ORDER BY line) FROM ({D_HEADS})", "NEXT_TABLE": f"SELECT start, lead(start) OVER (PARTITION BY doc_id ORDER BY start) FROM ({D_TABLES})", "NEXT_LIST": f"SELECT start, lead(start) OVER (PARTITION BY doc_id ORDER BY start) FROM ({D_LISTS})",
+} | {f"HAS_{k.upper()}": f"""SELECT s.start, c.start FROM ({D_CONTENT}) c JOIN ({D_SECTIONS}) s ON s.doc_id = c.doc_id AND c.start BETWEEN s.start AND s."end" WHERE kind = '{k}'""" for k in ("heading", "table", "list", "paragraph", "code")}
+D_EDGES = " UNION ALL ".join(f"SELECT '{k}' AS type, count(*) AS n, CAST(sum(source) AS BIGINT) AS sources, CAST(sum(target) AS BIGINT) AS targets FROM (SELECT * FROM ({sql}) t(source, target) WHERE target IS NOT NULL) HAVING count(*) > 0" for k, sql in _ALL.items())
+
+
 def nexts(f):
     return lambda spark, d: md.next_of(f(line_rows(spark, d)), "start").select("doc_id", "start", "next")
 
@@ -175,6 +188,8 @@ QUERIES = {
     "md_titled_by": lambda spark, d: md.titles(md.sections(line_rows(spark, d)), md.headings(line_rows(spark, d))),
     "md_tables": lambda spark, d: md.tables(line_rows(spark, d)).withColumn("headers", joined("headers")).withColumn("alignment", joined("alignment")).withColumn("preview", joined("preview", ";")),
     "md_table_alignment": lambda spark, d: md.tables(line_rows(spark, d)).select("doc_id", "start", F.posexplode("alignment").alias("column", "alignment")),
+    "md_gfm_tables": lambda spark, d: md.gfm_tables(line_rows(spark, d)).select("doc_id", "start", joined("headers"), F.array_join(F.transform("rows", lambda r: F.array_join(r, ",")), ";").alias("rows")),
+    "md_edges": lambda spark, d: md.edges(doc_rows(spark, d)).groupBy("type").agg(F.count("*").alias("n"), F.sum(F.coalesce("source", F.lit(0)).cast("long")).alias("sources"), F.sum(F.col("target").cast("long")).alias("targets")),
     "md_lists": lambda spark, d: md.lists(line_rows(spark, d)),
     "md_nested_lists": lambda spark, d: md.nested_lists(doc_rows(spark, d)),
     "md_heading_pages": lambda spark, d: md.heading_pages(rows(spark, d, PAGED), rows(spark, d, NAMED), rows(spark, d, "SELECT s_suppkey AS doc_id, 9 AS n_pages FROM @supplier")),
@@ -211,6 +226,9 @@ ORACLES = {
     "md_titled_by": f"SELECT s.doc_id, s.start, min(h.line) AS heading FROM ({D_SECTIONS}) s JOIN ({D_HEADS}) h ON h.doc_id = s.doc_id AND abs(h.line - s.start) <= 2 GROUP BY ALL",
     "md_tables": f"SELECT * REPLACE (array_to_string(headers, '|') AS headers, array_to_string(alignment, '|') AS alignment, array_to_string(preview, ';') AS preview, CAST(n_rows AS INTEGER) AS n_rows, CAST(n_columns AS INTEGER) AS n_columns) FROM ({D_TABLES})",
     "md_table_alignment": f"SELECT doc_id, start, CAST(k - 1 AS INTEGER) AS column, alignment[k] AS alignment FROM (SELECT doc_id, start, alignment, unnest(range(1, len(alignment) + 1)) AS k FROM ({D_TABLES}))".replace(" AS column", ' AS "column"'),
+    "md_gfm_tables": f"""SELECT doc_id, start, array_to_string(h, '|') AS headers, array_to_string(list_transform(ls[3:], lambda r: array_to_string(list_transform(range(1, len(h) + 1), lambda i: coalesce({D_CELLS.format(x='r')}[i], '')), ',')), ';') AS rows
+      FROM (SELECT *, {D_CELLS.format(x='ls[1]')} AS h FROM (SELECT doc_id, run, min(line) AS start, list(raw ORDER BY line) AS ls FROM ({d_islands("contains(text, '|')")}) GROUP BY doc_id, run)) WHERE regexp_matches(ls[2], '{md.SEPARATOR}')""",
+    "md_edges": D_EDGES,
     "md_lists": D_LISTS,
     "md_heading_pages": f"""SELECT doc_id, name, "from", coalesce(lead("from") OVER (PARTITION BY doc_id ORDER BY pos), 9) AS "to" FROM (SELECT n.doc_id, n.pos, n.name, min(p.page) AS "from" FROM ({duck(NAMED)}) n JOIN ({duck(PAGED)}) p ON p.doc_id = n.doc_id AND trim(regexp_replace(lower(p.heading), '[^a-z0-9]+', '_', 'g'), '_') = regexp_replace(n.name, '^[0-9]+_', '') GROUP BY ALL)""",
     "md_paragraphs": f"SELECT * REPLACE (CAST(n_words AS INTEGER) AS n_words) FROM ({D_PARAGRAPHS})",
