@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.functions import listscan, urls
+from graphloom.functions.checkpoints import checkpoint
 from graphloom.functions.names import strip
 
 #: What ends a line: all that Unicode counts as a line boundary.
@@ -159,9 +160,12 @@ def next_references(refs: DataFrame) -> DataFrame:
 
 
 def edges(docs: DataFrame) -> DataFrame:
-    """All edges of documents: ``doc_id``, ``type``, ``source`` and ``target`` as lines (null for the document)."""
-    rows = lines(docs)
-    found, heads, refs = parents(sections(rows)), headings(rows), references(rows)
+    """All edges of documents: ``doc_id``, ``type``, ``source`` and ``target`` as lines (null for the document).
+
+    Lines, sections and references, which many kinds of edges read, are written once to the shared checkpoint folder.
+    """
+    rows = checkpoint(lines(docs))
+    found, heads, refs = checkpoint(parents(sections(rows))), headings(rows), checkpoint(references(rows))
     edge = lambda f, kind, a, b: f.select("doc_id", F.lit(kind).alias("type"), a.cast("int").alias("source"), b.cast("int").alias("target"))
     c, whole = F.col, F.lit(None)
     made = [
