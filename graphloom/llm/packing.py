@@ -21,7 +21,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Documents that one packer serves; more make for less padding, and each is a few bytes.
 SERVED = 16384
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 #: Marks that end words, and the first letter behind the Latin blocks whose lower-case letters are in composed form.
 _MARKS, _BEYOND_LATIN = b".,;:!?", "\u0250"
 _SEPARATOR, _SEPARATOR_ID = "<|startoftext|>", 49406
