@@ -69,6 +69,17 @@ def test_rejected_languages_go(spark):
     assert language_id.UNKNOWN == "und"
 
 
+def test_long_documents_keep_their_language(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select(COLUMNS).collect()]
+    more = spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").where("text IS NOT NULL")
+    for k, lang in enumerate(["de", "en", "es", "fr"]):
+        body = "\n".join(r.text for r in more.where(f"lang = '{lang}'").select("text").collect())[: 8 << 20]
+        rows.append((10**9 + k, body, lang, "s", len(body)))
+        assert len(body) > 2e6
+    kept = {r.doc_id for r in stage(spark, 0, rows).select("doc_id").collect()}
+    assert {r[0] for r in rows if r[0] >= 10**9} <= kept
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, f"{DATA}/sf0.001")
     assert got.columns[:5] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] and got.count() > 100
