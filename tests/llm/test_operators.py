@@ -231,6 +231,13 @@ def test_leak_edges(spark):
     assert decontamination.leaks(docs, items.limit(0)).collect() == []
 
 
+def test_leaks_behind_repeats_and_of_short_items(spark):
+    items = [(1, "_____________ is the capital of france and lies by a river that flows to the sea in the north"), (2, "ha ha ha ha ha ha said the clown as he ran over the bridge and fell into the cold water"), (3, "ab cd efgh"), (4, "the cat sat on a mat x")]
+    rows = [(1, "_" * 300 + " " + items[0][1]), (2, "ha " * 60 + items[1][1]), (3, "zz ab cdxefgh zz"), (4, "q the cax sat oq a mat x q"), (5, "_" * 400 + "ha " * 90)]
+    found = {(r.doc_id, r.item_id, r.distance) for r in decontamination.leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(1, 1, 0), (2, 2, 0), (3, 3, 1), (4, 4, 2)}
+
+
 # Chat formatting
 
 
