@@ -238,6 +238,21 @@ def test_leaks_behind_repeats_and_of_short_items(spark):
     assert found == {(1, 1, 0), (2, 2, 0), (3, 3, 1), (4, 4, 2)}
 
 
+def test_leaks_of_long_items_by_indels(spark):
+    rng = random.Random(11)
+    text = decontamination.plain(" ".join(r.text for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").orderBy("item_id").collect()).encode()).decode()
+    items = [(k, text[at : at + size]) for k, (at, size) in enumerate((rng.randrange(len(text) - 2500), rng.choice([1000, 2500])) for _ in range(120))]
+    rows = []
+    for k, t in items:
+        out, edits, gone = list(t), int(0.1 * len(decontamination.plain(t.encode()))), k % 2
+        inner = [at for at in range(1, len(t) - 1) if " " not in t[at - 1 : at + 2] and t[at].isascii()]
+        for at in sorted(rng.sample(inner, edits), reverse=True):
+            out[at : at + gone] = [] if gone else [rng.choice("etaoin")]
+        rows.append((k, "before it " + "".join(out) + " and after"))
+    found = {(r.doc_id, r.item_id) for r in decontamination.leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len([k for k, _ in items if (k, k) not in found]) == 0
+
+
 # Chat formatting
 
 
