@@ -53,8 +53,9 @@ def merge(entities: DataFrame) -> DataFrame:
     ``pos`` orders rows; the partial aggregates of a popular name are merged like any others.
     """
     alias = F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda s: s["name"])
+    vector = [F.min_by("embedding", F.when(F.col("embedding").isNotNull(), F.col("pos"))).alias("embedding")] if "embedding" in entities.columns else []
     return entities.groupBy("canonical_id").agg(
-        F.min_by("canonical_type", "pos").alias("type"), F.array_distinct(alias).alias("aliases"), F.count("*").alias("n_sources"), mean(F.col("confidence")).alias("confidence"),
+        F.min_by("canonical_type", "pos").alias("type"), F.array_distinct(alias).alias("aliases"), F.count("*").alias("n_sources"), mean(F.col("confidence")).alias("confidence"), *vector,
     )
 
 
@@ -114,6 +115,64 @@ def similar_names(entities: DataFrame, threshold: float = 0.88) -> DataFrame:
     return found.withColumn("score", sequence_ratio("left", "right")).where(F.col("score") >= threshold)
 
 
+def similar_name_links(entities: DataFrame, threshold: float = 0.88) -> DataFrame:
+    """Links between the smallest holders of similar names; exact links tie the other holders to these."""
+    hubs = name_keys(entities).groupBy("match").agg(F.min("id").alias("id"))
+    a, b = (hubs.select(F.col("match").alias(side), F.col("id").alias(f"{side}_id")) for side in ("left", "right"))
+    found = similar_names(entities, threshold).join(a, "left").join(b, "right").where("left_id <> right_id")
+    pair = found.select(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right"), "score")
+    return pair.groupBy("left", "right").agg(F.round(F.max("score"), 4).alias("score")).withColumn("reason", F.lit("name_similarity"))
+
+
+def _forest(near) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the graph with this matrix."""
+    import numpy as np
+
+    fresh, out = np.ones(len(near), bool), []
+    for root in range(len(near)):
+        if fresh[root]:
+            fresh[root], queue = False, [root]
+            while queue:
+                at = queue.pop()
+                met = np.flatnonzero(near[at] & fresh).tolist()
+                fresh[met] = False
+                queue += met
+                out += [(at, m) for m in met]
+    return out
+
+
+def cosine_links(entities: DataFrame, threshold: float = 0.92, block: int = 1024, key: str = "id", vector: str = "embedding") -> DataFrame:
+    """Entities whose vectors have a cosine of ``threshold`` at least, whatever their ids; no links without vectors.
+
+    All pairs of blocks are compared in double precision, so nothing is missed, and the work grows with the square of
+    the different vectors. A pair of blocks gives a spanning forest of its links, which has the same components.
+    """
+    import numpy as np
+    import pandas as pd
+
+    spark, kind = entities.sparkSession, dict((f.name, f.dataType) for f in entities.schema.fields)[key].simpleString()
+    schema = f"left {kind}, right {kind}, score double, reason string"
+    if vector not in entities.columns:
+        return spark.createDataFrame([], schema)
+    rows = entities.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    rows = rows.where(F.col("v").isNotNull() & ~F.isnan(norm) & (norm > 1e-24) & (norm < float("inf")))
+    hubs = rows.groupBy("v").agg(F.min("id").alias("left"))
+    equal = rows.join(hubs, "v").where("id <> left").select("left", F.col("id").alias("right"), F.lit(1.0).alias("score"), F.lit("embedding_similarity").alias("reason"))
+    blocks = max(1, -(-hubs.count() // block))
+    own = hubs.select(F.col("left").alias("id"), "v", F.pmod(F.xxhash64("left"), F.lit(blocks)).cast("int").alias("own"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", "v", "own", F.size("v").alias("size"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(part["v"].tolist(), np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        score = x @ x.T
+        found = [(part["id"].iat[min(e)], part["id"].iat[max(e)], round(float(score[e]), 4)) for e in _forest(score >= threshold)]
+        return pd.DataFrame([(min(a, b), max(a, b), s, "embedding_similarity") for a, b, s in found], columns=["left", "right", "score", "reason"])
+
+    return dealt.groupBy("a", "b", "size").applyInPandas(compare, schema).union(equal).groupBy("left", "right", "reason").agg(F.max("score").alias("score")).select("left", "right", "score", "reason")
+
+
 def cosine(a: Column, b: Column) -> Column:
     """0 for vectors of different lengths or without a direction."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, v: s + v)

@@ -19,11 +19,11 @@ class Graph:
     statistics: DataFrame
 
 
-def build(raw_entities: DataFrame, raw_edges: DataFrame, rules: tuple = (entities.exact_alias_links, entities.domain_links)) -> Graph:
+def build(raw_entities: DataFrame, raw_edges: DataFrame, rules: tuple = (entities.exact_alias_links, entities.domain_links, entities.similar_name_links, entities.cosine_links)) -> Graph:
     """Canonicalise and merge entities, deduplicate them by the rules' links, normalise and merge edges.
 
     ``raw_entities`` have name, type, source_parser, confidence and pos; ``raw_edges`` source, target, relation,
-    confidence and pos. A rule takes entities and returns (left, right, score, reason).
+    confidence and pos; entities may have an ``embedding``. A rule takes entities and returns (left, right, score, reason).
     Canonical entities and nodes, which all later steps read, are written to the shared checkpoint folder.
     """
     canonical = checkpoint(entities.merge(entities.canonicalise(raw_entities)).withColumnRenamed("canonical_id", "id"))

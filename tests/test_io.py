@@ -109,3 +109,11 @@ def test_distinct_stream(spark, tmp_path):
     q.awaitTermination()
     want = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "event_type").distinct().count()
     assert spark.table("distinct_events").select(F.count("*")).first()[0] >= want
+
+
+def test_links_by_vectors_and_similar_names(spark):
+    rows = [("AlphaThing", [1.0, 0.0]), ("Zulu", [0.0, 1.0]), ("Middle", [0.99, 0.05]), ("Bare", None), ("Nil", [0.0, 0.0]), ("CustomerAddressRecord", None), ("CustomerAddressRecords2", None)]
+    raw = spark.createDataFrame([(n, "Class", "markdown_parser", 1.0, k, v) for k, (n, v) in enumerate(rows)], "name string, type string, source_parser string, confidence double, pos long, embedding array<double>")
+    edges = spark.createDataFrame([], "source string, target string, relation string, confidence double, pos long")
+    groups = sorted(sorted(r.members) for r in pipeline.build(raw, edges).nodes.collect())
+    assert [g for g in groups if len(g) > 1] == [["AlphaThing", "Middle"], ["CustomerAddressRecord", "CustomerAddressRecords2"]]
