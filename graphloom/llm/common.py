@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,3 +62,30 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
+
+
+def _hand_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
+def release(f: Callable) -> Callable:
+    """``f`` (of one or two tables), after which a Python worker hands the memory it freed back to the system, so that
+    executors don't fill up with what their workers once needed."""
+
+    def one(table):
+        try:
+            return f(table)
+        finally:
+            _hand_back()
+
+    def two(left, right):
+        try:
+            return f(left, right)
+        finally:
+            _hand_back()
+
+    return one if f.__code__.co_argcount == 1 else two

@@ -1,48 +1,57 @@
 """Exact removal of passages that repeat an earlier document, by super-k-mer partitioning.
 
-A *window* is ``width`` consecutive units (words or bytes) of one document. Each window has a minimiser, the smallest
-hash of its m-grams; consecutive windows that share one form a super-k-mer, which travels as one packed string to the
-bucket of its minimiser. Equal windows have equal minimisers, so a bucket sees every copy of each of its windows and
-decides exactly, on the units themselves, in which document a window starts first.
+A *window* is ``width`` consecutive units (words or bytes) of one document. Each window has a minimiser, the rarest of
+its m-grams; consecutive windows that share one form a super-k-mer, which travels as one packed string to the bucket of
+its minimiser. Equal windows have equal minimisers, so a bucket sees every copy of each of its windows and decides
+exactly, on the units themselves, in which document a window starts first.
+
+0. ``_sketch`` (by scan): m-grams of all texts are counted in a table of fixed size. Its logarithms, a byte a counter,
+   are broadcast, and minimisers are least by (logarithm, hash). A passage that many documents share has frequent grams,
+   so a window that holds anything else has a rarer minimiser of its own: at the edges of the passage, where strings
+   differ in each document, they go to as many buckets. What stays with the passage's grams is equal everywhere.
 
 Texts are dealt once into groups of a few MB by their key; every step below reads that one exchange.
 
 1. ``_census`` (by group): the distinct minimisers of the group, four bytes each, go to their buckets.
-2. ``_answer`` (by bucket): two bits a minimiser come back: does another group have it (all others need not travel), and
-   do very many?
+2. ``_answer`` (by bucket): a bit a minimiser comes back: does another group have it? All others need not travel.
 3. ``_pack`` (by group): super-k-mers whose minimiser is shared travel to its bucket. Equal packed strings of a group
    are combined before: the group's first document travels, later ones are marked at once, so a passage that a third of
-   all rows share costs one string a group. Where a popular minimiser stands at the edge of such a passage, the strings
-   differ in each document; its windows are therefore dealt one by one, by a hash of the whole window, so that no
-   bucket gets more than a few documents' worth of strings that no combining makes fewer.
+   all rows share costs one string a group.
 4. ``_settle`` (by bucket): equal strings are combined across groups; what is left is compared window by window through
    the ``rank`` function given (sorted names for words, a suffix array for bytes).
 5. ``_apply`` (by group): marks meet their texts, and the uncovered units are kept.
+
+Groups and buckets number as the bytes of text demand, whatever the session's shuffle width, so a Python worker holds a
+few MB at a time, or the longest text where that is longer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.llm.common import U64, bytes_of, chunks, mix64, partitions, sliding_min
+from graphloom.llm.common import U64, bytes_of, chunks, mix64, partitions, release, sliding_min
 
 #: Units of an m-gram.
 WORD_GRAM, BYTE_GRAM = 4, 16
 #: Bytes of text that are cut at a time.
-WORD_CHUNK, BYTE_CHUNK = 6 << 20, 3 << 20
+CHUNK = 3 << 20
+#: Bytes of text of a group, and for which there is one bucket.
+GROUP, BUCKET = 4 << 20, 12 << 20
+#: Windows of a super-k-mer, which else can be as long as its text.
+LONGEST = 1 << 12
 #: Bytes of packed strings, of whole minimisers, that are ranked together.
 RANKED = 1 << 17
-#: Groups of texts, of some MB each, beyond which a minimiser counts as popular. Up to it a bucket holds the strings of
-#: that many groups at most; beyond it windows travel alone, which takes several times the bytes for what is popular.
-HEAVY = 1024
+#: Counters of the sketch are 2 ** SKETCH_BITS, and are merged in SLICES parts. A byte of each is broadcast: 1 MB.
+SKETCH_BITS, SLICES = 20, 64
 OUTPUTS = ("kept", "n_units", "n_removed", "n_spans")
 _PLACE, _BLOB = "__gl_place", "__gl_blob"
 
@@ -60,39 +69,103 @@ def word_numbers(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)), list(vocabulary)
 
 
-def word_units(texts: list[bytes], width: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Packed text, units a document, first and last byte of each unit, and each window's minimiser."""
-    words: list[bytes] = []
-    counts = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        own = text.split()  # on ASCII white space, as the contract has it
-        counts[k] = len(own)
-        words += own
-    numbers, distinct = word_numbers(words)
-    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))[numbers]
-    ends = np.cumsum(lengths + 1) - 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), U64, len(distinct))[numbers]
-    gram = min(WORD_GRAM, width)
-    least = np.zeros(0, U64)
-    if len(words) >= width:
-        mixed = np.zeros(len(words) - gram + 1, U64)
-        for k in range(gram):
-            mixed = mixed * U64(0x9E3779B97F4A7C15) + hashes[k : len(words) - gram + 1 + k]
-        least = sliding_min(mix64(mixed), width - gram + 1)
-    return b" ".join(words), counts, ends - lengths, ends, least
+@functools.lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers, up to n, of an odd number and of its inverse modulo 2 ** 64."""
+    base = 0x9E3779B97F4A7C15
+    return tuple(np.cumprod(np.concatenate([[U64(1)], np.full(n, U64(x))]), dtype=U64) for x in (base, pow(base, -1, 1 << 64)))
+
 
+def word_units(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Packed text, units a document, first and last byte of each unit, and the hash of each unit.
 
-def byte_units(texts: list[bytes], width: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    Words are parted by ASCII white space, as the contract has it, and packed with one space between them.
+    """
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    edge = np.flatnonzero(np.diff(space, prepend=True))
+    a, b = edge[::2], edge[1::2]
+    bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    counts = np.diff(np.searchsorted(a, bounds), prepend=0)
+    keep = ~space
+    keep[b] = True  # one space behind each word
+    packed = raw[keep]
+    ends = np.cumsum(b - a + 1) - 1
+    begins = ends - (b - a)
+    packed[ends] = 32
+    power, inverse = _powers(1 << max(16, len(packed).bit_length()))
+    total = np.cumsum(np.concatenate([[U64(0)], (packed.astype(U64) + U64(1)) * power[: len(packed)]]), dtype=U64)
+    return packed.tobytes(), counts, begins, ends, mix64((total[ends] - total[begins]) * inverse[begins])
+
+
+def byte_units(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, None]:
     packed = b"".join(texts)
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
-    least = np.zeros(0, U64)
-    if len(packed) >= width:
-        eight = loads(packed)
-        gram = min(BYTE_GRAM, width)
-        mixed = mix64(eight[: len(packed) - gram + 1] * U64(0x9E3779B97F4A7C15) + eight[gram - 8 : len(packed) - 7]) if gram >= 8 else mix64(np.frombuffer(packed, np.uint8).astype(U64))
-        least = sliding_min(mixed, width - (gram if gram >= 8 else 1) + 1)
     at = np.arange(len(packed), dtype=np.int64)
-    return packed, counts, at, at + 1, least
+    return packed, np.fromiter(map(len, texts), np.int64, len(texts)), at, at + 1, None
+
+
+def gram_hashes(packed: bytes, hashes: np.ndarray | None, width: int) -> tuple[np.ndarray, int]:
+    """Hashes of the m-grams from each unit on, and m."""
+    if hashes is not None:
+        gram = min(WORD_GRAM, width)
+        n = max(0, len(hashes) - gram + 1)
+        mixed = np.zeros(n, U64)
+        for k in range(gram):
+            mixed = mixed * U64(0x9E3779B97F4A7C15) + hashes[k : n + k]
+        return mix64(mixed), gram
+    gram = min(BYTE_GRAM, width)
+    if gram < 8:
+        return mix64(np.frombuffer(packed, np.uint8).astype(U64) + U64(1)), 1
+    eight = loads(packed)
+    n = max(0, len(packed) - gram + 1)
+    return mix64(eight[:n] * U64(0x9E3779B97F4A7C15) + eight[gram - 8 : gram - 8 + n]), gram
+
+
+def _cuts(texts: list[bytes], limit: int) -> list[tuple[int, int]]:
+    """Runs of texts of about ``limit`` bytes, as slices (from, to)."""
+    sizes = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    at = np.unique(np.append(np.flatnonzero(np.diff(sizes // limit, prepend=0)), [0, len(texts)]))
+    return list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+
+
+def _sketch(text: str, width: int, units: Callable, bits: int) -> Callable:
+    """Counts of m-grams by the first bits of their hashes, in slices, and at slice -1 the bytes of text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, size = np.zeros(1 << bits, np.int64), 0
+        for part in chunks(batches, text, CHUNK):
+            texts = [t for t in bytes_of(part.column(text).combine_chunks()) if t]
+            size += sum(map(len, texts))
+            packed, *_, hashes = units(texts)
+            hashed, _ = gram_hashes(packed, hashes, width)
+            count += np.bincount((hashed >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        if size:
+            blobs = [zstandard.compress(part.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1) for part in np.split(count, SLICES)]
+            yield pa.RecordBatch.from_arrays([pa.array([*range(SLICES), -1], pa.int32()), pa.array([*blobs, np.array([size], "<i8").tobytes()], pa.binary())], ["slice", _BLOB])
+
+    return run
+
+
+def _merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at, total = key[0].as_py(), 0
+    for batch in batches:
+        for blob in batch.column(_BLOB).to_pylist():
+            if at < 0:
+                total = total + np.frombuffer(blob, "<i8")
+            else:
+                raw = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1)
+                total = total + np.ascontiguousarray(raw.T).reshape(-1).view("<u8")
+    made = total.tobytes() if at < 0 else np.frexp(total.astype(np.float64))[1].astype(np.uint8).tobytes()
+    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([made], pa.binary())], ["slice", _BLOB])
+
+
+def gram_classes(docs: DataFrame, text: str, width: int, units: Callable, bits: int) -> tuple[np.ndarray, int]:
+    """The logarithm of each counter of the sketch, and the bytes of all texts. A table of fixed size reaches the driver."""
+    rows = docs.select(text).where(F.col(text).isNotNull()).mapInArrow(_sketch(text, width, units, bits), f"slice int, {_BLOB} binary")
+    found = {r[0]: r[1] for r in rows.groupBy("slice").applyInArrow(_merge, f"slice int, {_BLOB} binary").collect()}
+    if -1 not in found:
+        return np.zeros(1 << bits, np.uint8), 0
+    return np.concatenate([np.frombuffer(found[k], np.uint8) for k in range(SLICES)]), int(np.frombuffer(found[-1], "<i8")[0])
 
 
 def loads(packed: bytes) -> np.ndarray:
@@ -126,25 +199,30 @@ def _runs(doc: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
     return doc[first], at[first], np.add.reduceat(n, first)
 
 
-def _pieces(ids: np.ndarray, texts: list[bytes], width: int, units: Callable, limit: int) -> Iterator[tuple]:
+def _pieces(ids: np.ndarray, texts: list[bytes], width: int, units: Callable, classes: np.ndarray) -> Iterator[tuple]:
     """The super-k-mers of texts sorted by id, a few MB of text at a time.
 
     Yields the packed text, and for each super-k-mer its document's id, first unit, number of windows, minimiser, and
-    first and last byte.
+    first and last byte. A minimiser is a number: the class of the gram's counter, then bits of its hash.
     """
-    sizes = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
-    cuts = np.unique(np.append(np.flatnonzero(np.diff(sizes // limit, prepend=0)), [0, len(texts)]))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        packed, counts, first, last, least = units(texts[a:b], width)
-        doc = np.repeat(np.arange(b - a), counts)
-        starts = np.flatnonzero(doc[: len(least)] == doc[width - 1 :]) if len(least) else np.zeros(0, np.int64)
+    shift = U64(64 - (len(classes).bit_length() - 1))
+    for a, b in _cuts(texts, CHUNK):
+        packed, counts, first, last, hashes = units(texts[a:b])
+        hashed, gram = gram_hashes(packed, hashes, width)
+        doc = np.repeat(np.arange(b - a, dtype=np.int32), counts)
+        starts = np.flatnonzero(doc[: max(0, len(doc) - width + 1)] == doc[width - 1 :])
         if not len(starts):
             continue
-        low = least[starts]
+        low = sliding_min(classes[(hashed >> shift).astype(np.int64)].astype(U64) << U64(56) | hashed >> U64(8), width - gram + 1)[starts]
         new = np.ones(len(starts), bool)
         new[1:] = (starts[1:] != starts[:-1] + 1) | (low[1:] != low[:-1])
         head = np.flatnonzero(new)
         n = np.diff(np.append(head, len(starts)))
+        if n.max() > LONGEST:
+            parts = -(-n // LONGEST)
+            inside = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            head = np.repeat(head, parts) + inside * LONGEST
+            n = np.diff(np.append(head, len(starts)))
         head, low = starts[head], low[head]
         of = doc[head]
         at = head - (np.cumsum(counts) - counts)[of]
@@ -158,8 +236,14 @@ def _sorted_texts(docs: pa.Table, key: str, text: str) -> tuple[np.ndarray, list
     return np.array([i for i, _ in rows], np.int64), [texts[k] for _, k in rows]
 
 
+def _spans(cuts: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """From each place of ``cuts`` to the next, the last to n; nothing if there are none."""
+    return list(zip(cuts.tolist(), np.append(cuts[1:], n).tolist(), strict=False))
+
+
 def _tags(low: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and tag of minimisers. Two of a bucket may share a tag; that only keeps strings that have no partner."""
+    low = mix64(low)
     return (low % U64(buckets)).astype(np.int64), (low >> U64(32)).astype("<u4")
 
 
@@ -170,14 +254,15 @@ def _distinct_tags(low: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarra
     return distinct, inverse, np.flatnonzero(np.diff((distinct >> U64(32)).astype(np.int64), prepend=-1))
 
 
-def _census(key: str, text: str, width: int, units: Callable, limit: int, buckets: int) -> Callable:
+def _census(key: str, text: str, width: int, units: Callable, classes: Broadcast, buckets: int) -> Callable:
+    @release
     def run(docs: pa.Table) -> pa.Table:
         at = docs.column(_PLACE)[0].as_py()
-        low = [x[4] for x in _pieces(*_sorted_texts(docs, key, text), width, units, limit)]
+        low = [x[4] for x in _pieces(*_sorted_texts(docs, key, text), width, units, np.frombuffer(classes.value, np.uint8))]
         places, blobs = [], []
         if low:
             distinct, _, cuts = _distinct_tags(np.concatenate(low), buckets)
-            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(distinct)], strict=True):
+            for a, b in _spans(cuts, len(distinct)):
                 places.append(int(distinct[a] >> U64(32)))
                 blobs.append((distinct[a:b] & U64(0xFFFFFFFF)).astype("<u4").tobytes())
         return pa.table([pa.array(places, pa.int32()), pa.array([at] * len(places), pa.int32()), pa.array(blobs, pa.binary())], ["bucket", _PLACE, _BLOB])
@@ -185,48 +270,32 @@ def _census(key: str, text: str, width: int, units: Callable, limit: int, bucket
     return run
 
 
-def _answer(heavy: int) -> Callable:
-    """For each group of texts, two bits for each of its tags: does another group have it, and do more than ``heavy``?"""
-
-    def run(table: pa.Table) -> pa.Table:
-        blobs = table.column(_BLOB).to_pylist()
-        tags = np.concatenate([np.frombuffer(x, "<u4") for x in blobs])
-        _, inverse, count = np.unique(tags, return_inverse=True, return_counts=True)  # a group names a tag once
-        groups = np.split(count[inverse], np.cumsum([len(x) // 4 for x in blobs])[:-1])
-        made = [np.packbits(n > 1).tobytes() + np.packbits(n > heavy).tobytes() for n in groups]
-        return pa.table([table.column(_PLACE), table.column("bucket"), pa.array(made, pa.binary())], [_PLACE, "bucket", _BLOB])
-
-    return run
-
-
-def word_windows(string: bytes, width: int) -> list[bytes]:
-    words = string.split(b" ")
-    return [b" ".join(words[k : k + width]) for k in range(len(words) - width + 1)]
-
-
-def byte_windows(string: bytes, width: int) -> list[bytes]:
-    return [string[k : k + width] for k in range(len(string) - width + 1)]
-
+@release
+def _answer(table: pa.Table) -> pa.Table:
+    """For each group of texts, a bit for each of its tags: does another group have it?"""
+    blobs = table.column(_BLOB).to_pylist()
+    tags = np.concatenate([np.frombuffer(x, "<u4") for x in blobs])
+    _, inverse, count = np.unique(tags, return_inverse=True, return_counts=True)  # a group names a tag once
+    shared = np.split(count[inverse] > 1, np.cumsum([len(x) // 4 for x in blobs])[:-1])
+    return pa.table([table.column(_PLACE), table.column("bucket"), pa.array([np.packbits(x).tobytes() for x in shared], pa.binary())], [_PLACE, "bucket", _BLOB])
 
-def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets: int) -> Callable:
-    cut = word_windows if units is word_units else byte_windows
 
+def _pack(key: str, text: str, width: int, units: Callable, classes: Broadcast, buckets: int) -> Callable:
+    @release
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _sorted_texts(docs, key, text) if docs.num_rows else (np.zeros(0, np.int64), [])
         parts, pieces = [], []
-        for packed, *arrays, a, b in _pieces(ids, texts, width, units, limit):
+        for packed, *arrays, a, b in _pieces(ids, texts, width, units, np.frombuffer(classes.value, np.uint8)):
             parts.append(arrays)
             pieces.append((packed, a, b))
         places, blobs, marks = [], [], []
         if parts:
             doc, at, n, low = (np.concatenate(x) for x in zip(*parts, strict=True))
             distinct, inverse, cuts = _distinct_tags(low, buckets)
-            shared, heavy = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
+            shared = np.zeros(len(distinct), bool)
             bits = dict(zip(answers.column("bucket").to_pylist(), answers.column(_BLOB).to_pylist(), strict=True))
-            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(distinct)], strict=True):
-                both = np.frombuffer(bits[int(distinct[a] >> U64(32))], np.uint8)
-                shared[a:b] = np.unpackbits(both[: len(both) // 2], count=b - a).astype(bool)
-                heavy[a:b] = np.unpackbits(both[len(both) // 2 :], count=b - a).astype(bool)
+            for a, b in _spans(cuts, len(distinct)):
+                shared[a:b] = np.unpackbits(np.frombuffer(bits[int(distinct[a] >> U64(32))], np.uint8), count=b - a)
             least, most = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
             np.minimum.at(least, inverse, doc)
             np.maximum.at(most, inverse, doc)
@@ -237,19 +306,7 @@ def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets:
                 mine = np.flatnonzero(use[base : base + len(a)])
                 strings += [packed[x:y] for x, y in zip(a[mine].tolist(), b[mine].tolist(), strict=True)]
                 base += len(a)
-            doc, at, n, low, split = doc[use], at[use], n[use], low[use], heavy[inverse[use]]
-            if split.any():  # windows of a popular minimiser travel one by one, each to a bucket of its own content
-                rows = np.flatnonzero(split)
-                windows = [w for k in rows.tolist() for w in cut(strings[k], width)]
-                many = n[rows]
-                inside = np.arange(len(windows)) - np.repeat(np.cumsum(many) - many, many)
-                keep = np.flatnonzero(~split)
-                strings = [strings[k] for k in keep.tolist()] + windows
-                doc, at = np.append(doc[keep], np.repeat(doc[rows], many)), np.append(at[keep], np.repeat(at[rows], many) + inside).astype("<i4")
-                n = np.append(n[keep], np.ones(len(windows))).astype("<i4")
-                low = np.append(low[keep], np.fromiter(map(xxhash.xxh64_intdigest, windows), U64, len(windows)))
-                order = np.lexsort((at, doc))
-                strings, doc, at, n, low = [strings[k] for k in order.tolist()], doc[order], at[order], n[order], low[order]
+            doc, at, n, low = doc[use], at[use], n[use], low[use]
             place, tag = _tags(low, buckets)
             seen: dict[bytes, int] = {}
             earliest = np.fromiter(map(seen.setdefault, strings, doc.tolist()), np.int64, len(strings))
@@ -260,7 +317,7 @@ def _pack(key: str, text: str, width: int, units: Callable, limit: int, buckets:
             rest = np.flatnonzero(~later)
             rest = rest[np.argsort(place[rest], kind="stable")]
             cuts = np.flatnonzero(np.diff(place[rest], prepend=-1))
-            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rest)], strict=True):
+            for a, b in _spans(cuts, len(rest)):
                 own = rest[a:b]
                 mine = [strings[k] for k in own.tolist()]
                 places.append(int(place[own[0]]))
@@ -276,7 +333,7 @@ def _by_document(doc: np.ndarray, at: np.ndarray, n: np.ndarray, buckets: int) -
     order = np.argsort(place, kind="stable")
     cuts = np.flatnonzero(np.diff(place[order], prepend=-1))
     places, blobs = [], []
-    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+    for a, b in _spans(cuts, len(order)):
         own = order[a:b]
         places.append(int(place[own[0]]))
         blobs.append(_blob(doc[own].astype("<i8"), at[own].astype("<i4"), n[own].astype("<i4")))
@@ -284,6 +341,7 @@ def _by_document(doc: np.ndarray, at: np.ndarray, n: np.ndarray, buckets: int) -
 
 
 def _settle(rank: Callable, buckets: int) -> Callable:
+    @release
     def run(table: pa.Table) -> pa.Table:
         marks = table.column("marks").to_pylist()
         blobs = table.column(_BLOB).to_pylist()
@@ -358,6 +416,7 @@ def _cover(n: int, at: np.ndarray, m: np.ndarray, width: int) -> np.ndarray:
 
 
 def _apply(key: str, text: str, width: int, words: bool) -> Callable:
+    @release
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
         found = [_unblob(b, _MARK)[0] for b in marks.column(_BLOB).to_pylist()] if marks.num_rows else []
         doc, at, n = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
@@ -393,22 +452,25 @@ def prime_above(n: int) -> int:
     return n
 
 
-def remove_repeats(docs: DataFrame, *, width: int, words: bool, rank: Callable, key: str = "doc_id", text: str = "text", heavy: int = HEAVY) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int, words: bool, rank: Callable, key: str = "doc_id", text: str = "text", group: int = GROUP, bits: int = SKETCH_BITS) -> DataFrame:
     """Every row of ``docs`` with ``kept`` (what is left of its text), ``n_units``, ``n_removed`` and ``n_spans``.
 
     A unit goes if a window of ``width`` units that covers it also starts in a row with a smaller ``key``; windows are
     judged on the input. Null text counts as empty. A row whose key is null is neither compared nor changed. Rows that
     repeat a key are one document for comparison: they never remove each other, and marks found in one hold for all.
-    Columns named as an output are replaced; all others are kept.
+    Columns named as an output are replaced; all others are kept. Keys are whole numbers; a key that cannot be cast to
+    one raises an error. Memory of a worker follows ``group``, the bytes of text it holds, and the longest text.
     """
-    width_of = partitions(docs.sparkSession)
-    groups, buckets = prime_above(2 * width_of), width_of
+    spark = docs.sparkSession
     docs = docs.drop(*OUTPUTS, _PLACE, _BLOB)
+    units = word_units if words else byte_units
+    classes, size = gram_classes(docs, text, width, units, bits)
+    groups, buckets = prime_above(max(2 * partitions(spark), size // group)), max(partitions(spark), size // BUCKET)
     place = F.coalesce(F.pmod(F.col(key).cast("long"), F.lit(groups)), F.pmod(F.xxhash64(text), F.lit(groups)))
     placed = docs.withColumn(key, F.col(key).cast("long")).withColumn(_PLACE, place.cast("int"))
-    how = (key, text, width, word_units if words else byte_units, WORD_CHUNK if words else BYTE_CHUNK, buckets)
+    how = (key, text, width, units, spark.sparkContext.broadcast(classes.tobytes()), buckets)
     census = placed.groupBy(_PLACE).applyInArrow(_census(*how), f"bucket int, {_PLACE} int, {_BLOB} binary")
-    answers = census.groupBy("bucket").applyInArrow(_answer(heavy), f"{_PLACE} int, bucket int, {_BLOB} binary")
+    answers = census.groupBy("bucket").applyInArrow(_answer, f"{_PLACE} int, bucket int, {_BLOB} binary")
     strings = placed.groupBy(_PLACE).cogroup(answers.groupBy(_PLACE)).applyInArrow(_pack(*how), f"bucket int, {_BLOB} binary, marks boolean")
     marks = strings.groupBy("bucket").applyInArrow(_settle(rank, groups), f"{_PLACE} int, {_BLOB} binary")
     fields = [f for f in placed.schema.fields if f.name != _PLACE]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
+from graphloom.llm import packed  # noqa: E402
 from graphloom.llm.packed import remove_repeats  # noqa: E402
 from graphloom.llm.substring_dedup import rank_words, substring_dedup, window_names  # noqa: E402
 from graphloom.llm.suffix_dedup import rank_bytes, suffix_array, suffix_dedup  # noqa: E402
@@ -43,15 +44,57 @@ def test_against_brute_force(spark, words, letters):
 
 
 @pytest.mark.parametrize("words", [True, False])
-def test_popular_minimisers(spark, words):
-    data = rows(7, "abcdefgh")
+def test_small_groups_and_sketch(spark, words, monkeypatch):
+    """Many groups, counters that all share, super-k-mers that are cut: results stay."""
+    data = rows(7, "abcdefgh") + [(2000 + k, "ha " * (40 + 30 * k)) for k in range(5)]
     docs = spark.createDataFrame(data, "doc_id long, text string")
     rank = rank_words(13) if words else rank_bytes(50)
-    got = remove_repeats(docs, width=13 if words else 50, words=words, rank=rank, heavy=1)
+    got = remove_repeats(docs, width=13 if words else 50, words=words, rank=rank, group=300, bits=6)
     got = got.select("doc_id", "n_units", "n_removed", "n_spans", F.sha2(F.col("kept").cast("binary"), 256)).collect()
     assert sorted(map(tuple, got)) == brute.repeats(data, 13 if words else 50, words)
 
 
+def pieces_of(texts, classes, width=13):
+    ids = np.arange(len(texts))
+    return list(packed._pieces(ids, [t.encode() for t in texts], width, packed.word_units, classes))
+
+
+def test_common_line_has_no_hot_minimiser():
+    """A line that all documents share, between words of their own: strings that differ do not meet in one bucket."""
+    rng = random.Random(5)
+    own = lambda: " ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(30))
+    line = " ".join(f"line{k}" for k in range(14))
+    texts = [f"{own()} {line} {own()}" for _ in range(400)]
+    units = packed.word_units([t.encode() for t in texts])
+    hashed, _ = packed.gram_hashes(units[0], units[-1], 13)
+    count = np.bincount((hashed >> np.uint64(44)).astype(np.int64), minlength=1 << 20)
+    classes = np.frexp(count.astype(float))[1].astype(np.uint8)
+    for given, bound in ((classes, 3), (np.zeros(1 << 20, np.uint8), None)):
+        strings = {}
+        for text, doc, at, n, low, a, b in pieces_of(texts, given):
+            for m, x, y in zip(low.tolist(), a.tolist(), b.tolist()):
+                strings.setdefault(m, set()).add(text[x:y])
+        most = max(map(len, strings.values()))
+        assert most <= bound if bound else most > 100
+
+
+def test_long_super_kmers_are_cut(monkeypatch):
+    monkeypatch.setattr(packed, "LONGEST", 10)
+    (text, doc, at, n, low, a, b), = pieces_of(["ha " * 60, "x " * 12, "ha " * 33], np.zeros(1 << 20, np.uint8))
+    assert n.tolist() == [10, 10, 10, 10, 8, 10, 10, 1] and at.tolist() == [0, 10, 20, 30, 40, 0, 10, 20]
+    assert doc.tolist() == [0] * 5 + [2] * 3
+    assert {text[x:y].split().count(b"ha") for x, y in zip(a.tolist(), b.tolist())} == {22, 20, 13}
+
+
+def test_long_text(spark):
+    """A text longer than a chunk of the reader, and its copy."""
+    rng = random.Random(9)
+    body = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(1_100_000))
+    docs = spark.createDataFrame([(1, body), (2, body[100:]), (3, "short")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed / max(1, r.n_units) for r in substring_dedup(docs).collect()}
+    assert got == {1: 0, 2: 1, 3: 0} or (got[1] == got[3] == 0 and got[2] > 0.99999)
+
+
 @pytest.mark.parametrize("f", [substring_dedup, suffix_dedup])
 def test_edge_rows(spark, f):
     long = " ".join(f"w{k}" for k in range(40))
