@@ -38,8 +38,16 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text, A-Z in lower case, which the vocabulary's normaliser does anyhow; but special tokens are
+    found before that, and only as they are written, so words that may hold one keep their capitals."""
+    if b"<|" in text:
+        return [w if b"<|" in w else w.lower() for w in text.split()]
+    return text.lower().split()
+
+
 def word_ids(words: set[bytes], tokenizer) -> dict[bytes, bytes]:
-    """The worker's memory of words' ids, as little-endian 32-bit numbers, with all of ``words`` (A-Z in lower case) in it.
+    """The worker's memory of words' ids, as little-endian 32-bit numbers, with all of ``words`` in it.
 
     The vocabulary's pre-tokenizer drops white space and never reaches across it, so a text's ids are its words' ids.
     It also parts a run of letters from the marks that follow, so a word of Latin letters, which no normaliser changes,
@@ -91,7 +99,7 @@ def _pieces(vocabulary: Broadcast, key: str, text: str, length: int, packers: in
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out: list[list] = [[] for _ in range(6)]
-                split = [(t or b"").lower().split() for t in bytes_of(part.column(text))]
+                split = [words_of(t or b"") for t in bytes_of(part.column(text))]
                 ids = word_ids(set().union(*split), tokenizer)
                 for i, words in zip(part.column(key).to_pylist(), split, strict=True):
                     raw = b"".join(map(ids.__getitem__, words)) + end
@@ -150,7 +158,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, key: str = "doc_
     A document's ids end with the end token; all of its full windows and the rest are its pieces. Packers are dealt
     documents by a hash, and each packs its pieces in the order of key and start, so the result doesn't depend on
     partitioning. Null text counts as empty, and is a piece of one id; a null key is kept; repeated rows are packed each.
-    ``tokenizer`` is the path of the vocabulary, read by the driver. An empty table gives an empty result.
+    Keys are whole numbers; one that cannot be cast to a long raises an error. Other columns than key and text are left
+    out. ``tokenizer`` is the path of the vocabulary, read by the driver. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     packers = max(1, round(docs.count() / SERVED))
