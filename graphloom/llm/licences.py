@@ -1,13 +1,19 @@
-"""Licence scans: a trained paragraph classifier with an unknown class, confirmed against templates.
+"""Licence scans: a trained paragraph classifier with classes for no and for unknown licences, confirmed by templates.
 
-A paragraph is a line of a text. Its features are its distinct word 1- to 3-grams; a sparse multinomial logistic
-regression gives the probability of each licence family and of no licence. The fit takes the templates below and
-ordinary sentences, runs on the driver in a moment, and its bounds are constants. Scoring uses column functions only.
+A paragraph ends at a blank line, or at a line that closes a sentence; lines wrapped inside a sentence belong together. Its
+features are its distinct 1- to 3-grams of words, where paragraph and sentence ends are words too. A multinomial logistic
+regression with a sparse set of weights gives the probability of each licence family, of an unknown licence and of none.
+
+The fit takes the fixed wordings below, runs on the driver once, and its bounds are constants. It keeps only n-grams that
+hold an *anchor*, one of a few words that it chose so that every wording has one. A paragraph without an anchor therefore
+has no feature, and the model says "no licence" whatever else stands there: passing such paragraphs over loses nothing.
+Probabilities are calibrated on wordings that were left out of the fit, fold by fold. Scoring uses column functions only.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,134 +21,222 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import table
 
-UNKNOWN = "unknown"
+NONE, UNKNOWN = "none", "unknown"
 #: Probability that a family needs, and share of a template's word pairs that confirms it.
-THRESHOLD, CONFIRM = 0.5, 0.5
-#: Features that the fit keeps, those with the largest weights.
-FEATURES = 400
-#: Every template has one of these; a paragraph without any is no candidate.
-STEMS = ("licens", "licenc", "copyright", "permission", "warrant", "public domain", "redistribut", "all rights reserved", "spdx")
-
-# Wordings by which texts name or grant a licence.
-TEMPLATES = {
+THRESHOLD, CONFIRM = 0.5, 0.8
+#: Features that the fit keeps, those with the largest weights; anchors at most, and anchors that a wording has if it can;
+#: folds of the calibration; steps of descent.
+FEATURES, ANCHORS, HAS, FOLDS, STEPS = 600, 40, 2, 3, 80
+END = "¶"
+
+# Phrases that name a licence ...
+FRAMES = (
+    "Licensed under the {}.", "Released under the {}.", "This project is distributed under the terms of the {}.", "License: {}", "SPDX-License-Identifier: {}", "This work is licensed under {}.", "Code: {}", "{}", "The library is available under the {}.",
+    "Published under {}", "All files are provided under the {}, see below.", "The data are covered by the {}.", "You may use this under the {}.", "Made available under {}.",
+)
+# ... names of licences ...
+NAMES = {
+    "Apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 license", "Apache Software License", "Apache-2.0", "Apache license"],
+    "MIT": ["MIT License", "MIT", "MIT licence", "terms of the MIT license", "MIT License (MIT)", "MIT-style license"],
+    "BSD": ["BSD license", "3-clause BSD license", "BSD 2-Clause License", "BSD-3-Clause", "new BSD licence", "BSD-2-Clause"],
+    "GPL": ["GNU General Public License, version 3", "GNU General Public License version 2 or later", "GNU GPL", "GPL license", "GPLv3", "GPL-3.0-only", "GNU GPL v2", "GPLv2", "GPL"],
+    "LGPL": ["GNU Lesser General Public License", "GNU Lesser General Public License version 2.1", "LGPL license", "LGPLv3", "LGPL-2.1-or-later", "LGPL", "GNU LGPL 2.1"],
+    "AGPL": ["GNU Affero General Public License, version 3", "GNU Affero General Public License", "AGPL license", "AGPLv3", "AGPL-3.0-only", "AGPL", "GNU AGPL"],
+    "MPL": ["Mozilla Public License, version 2.0", "Mozilla Public License", "MPL 2.0 license", "MPL-2.0", "MPL"],
+    "CC-BY-NC": ["CC BY-NC 4.0", "CC BY-NC-SA 4.0", "CC-BY-NC 3.0", "Creative Commons Attribution-NonCommercial 4.0 International License", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", "CC BY-NC-ND 4.0"],
+    "CC-BY-SA": ["CC BY-SA 4.0", "CC-BY-SA 3.0", "Creative Commons Attribution-ShareAlike 4.0 International License", "Creative Commons Attribution-ShareAlike License", "CC BY-SA"],
+    "CC-BY": ["CC BY 4.0", "CC-BY 3.0", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution License", "Creative Commons Attribution 3.0 Unported", "CC BY"],
+    "CC0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero", "CC0 public domain dedication"],
+    "unknown": ["Eclipse Public License 2.0", "zlib license", "ISC license", "Boost Software License, Version 1.0", "Open Software License", "Artistic License", "Academic Free License version 3.0", "EUPL-1.2", "terms below", "licence found in the root folder", "license agreement", "following license", "European Union Public Licence"],
+}
+# ... and texts of licences and notices.
+TEXTS = {
     "Apache": [
-        "licensed under the apache license version 2.0", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license",
-        "released under the apache software license", "spdx license identifier apache 2.0", "distributed under the apache 2.0 license",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ],
     "MIT": [
-        "released under the mit license", "licensed under the mit license", "spdx license identifier mit", "distributed under the terms of the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "BSD": [
-        "licensed under the bsd license", "released under the 3 clause bsd license", "spdx license identifier bsd 3 clause", "distributed under the 2 clause bsd license",
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
     "GPL": [
-        "this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 2 or later", "spdx license identifier gpl 3.0 only", "released under the gpl license",
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU General Public License along with this program.",
     ],
     "LGPL": [
-        "licensed under the gnu lesser general public license", "spdx license identifier lgpl 2.1 or later", "released under the lgpl license",
-        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
     ],
-    "AGPL": ["licensed under the gnu affero general public license version 3", "spdx license identifier agpl 3.0 only", "released under the agpl license"],
-    "MPL": [
-        "licensed under the mozilla public license version 2.0", "spdx license identifier mpl 2.0",
-        "this source code form is subject to the terms of the mozilla public license v 2.0",
+    "AGPL": ["You can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation."],
+    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "If a copy of the MPL was not distributed with this file, You can obtain one at"],
+    "CC-BY-SA": ["Text is available under the Creative Commons Attribution-ShareAlike License; additional terms may apply."],
+    "CC0": ["Released into the public domain.", "Dedicated to the public domain.", "This is free and unencumbered software released into the public domain.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
+    "proprietary": [
+        "All rights reserved.", "Copyright 2020 Example. All rights reserved.", "© 2019 The Company, all rights reserved.", "Proprietary and confidential.", "License: proprietary", "This software is proprietary.",
+        "No part of this work may be reproduced without written permission of the publisher.", "Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ],
-    "CC-BY-NC": ["licensed under cc by nc 4.0", "this work is licensed under a creative commons attribution noncommercial 4.0 international license", "spdx license identifier cc by nc 4.0"],
-    "CC-BY-SA": ["licensed under cc by sa 4.0", "this work is licensed under a creative commons attribution sharealike 4.0 international license", "spdx license identifier cc by sa 4.0"],
-    "CC-BY": ["licensed under cc by 4.0", "this work is licensed under a creative commons attribution 4.0 international license", "spdx license identifier cc by 4.0"],
-    "CC0": ["dedicated to the public domain under cc0 1.0", "released into the public domain", "spdx license identifier cc0 1.0", "this is free and unencumbered software released into the public domain"],
-    "proprietary": ["all rights reserved", "copyright all rights reserved no part of this work may be reproduced without written permission", "proprietary and confidential unauthorized copying is prohibited without permission"],
+    "unknown": ["License: see LICENSE file", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
 }
 # Sentences with the same words that name no licence.
 ORDINARY = [
-    "he lost his driving license on the way to the public library", "the license of the bar was not renewed by the city", "you need permission to enter the general ward", "a warranty of three years comes with the machine",
-    "the copyright debate went on in parliament", "they redistributed the land among the general public", "her fishing licence is valid until version two of the rules", "permission to speak was granted to the person",
-    "the restaurant is under new terms and conditions", "the apache helicopter landed at the base", "the mit campus lies by the river", "a creative commons room was opened at the school", "the foundation published a free report",
-    "this work is free", "the software is distributed to schools", "the warrant was issued on monday", "the source of the river is in the mountains", "attribution of the painting is not certain", "the new version is under test", "an international license to drive",
+    "He lost his driving license on the way to the public library.", "The license of the bar was not renewed by the city.", "You need permission to enter the general ward.", "A warranty of three years comes with the machine.", "Seats that are reserved for guests stand on the left.",
+    "The copyright debate went on in parliament.", "They redistributed the land among the general public.", "Her fishing licence is valid until version two of the rules.", "Permission to speak was granted to the person.", "All rights and duties of the members are listed here.",
+    "The restaurant is under new terms and conditions.", "The Apache helicopter landed at the base.", "The MIT campus lies by the river.", "A creative commons room was opened at the school.", "The foundation published a free report.", "All rights reserved seats were sold out.",
+    "This work is free.", "The software is distributed to schools.", "The warrant was issued on Monday.", "The source of the river is in the mountains.", "Attribution of the painting is not certain.", "The new version is under test.", "You need an international license to drive here.",
+    "He studied at MIT before he joined the company.", "Students of MIT released a study under the guidance of the dean.", "A licensed doctor works at the public hospital.", "The Apache people live in the south.", "The Apache programme of the army was licensed to another firm.",
+    "The public domain of the town ends at the bridge.", "All copies of the book were sold.", "The author has waived his fee.", "The bank reserved the money for the buyer.", "The GNU is an antelope of the general plains.", "He wrote to the Mozilla office about the public event.",
+    "The licence to print money was revoked.", "A software company distributed free meals.", "The rights of the workers were reserved for a later debate.", "His license to kill expired in version one of the film.", "Please see the manual for the limitations of the machine.", "The city granted, free of charge, a place to any person.",
+    "The library holds a copy of this software box.", "Conditions of use of the pool are posted at the door.", "The notice above the door was in all capital letters.", "Commercial fishing needs a licence from the ministry.", "The attribution of blame is a public sport.", "The committee released the film into the cinemas.",
+    "A driver without a valid license was stopped.", "She holds a pilot license and a boat license.", "They were licensed to sell wine under the new law.", "The company licensed the patent to a rival.", "License plates of the cars were copied.", "The MIT team won the cup.", "No part of the wall may be painted.", "The terms of the general are hard.",
+    "Copying from the neighbour is prohibited in the exam.", "The foundation of the house is free of water.", "It is strictly prohibited to smoke.", "The court reserved its judgment on all rights of way.", "Version 2.0 of the game was released.", "Chapter 3.0 of the report is under review.", "By and by the cc field of the mail was filled.",
 ]
 
-WORD = "[\\p{L}\\p{N}]+(?:\\.\\p{N}+)*"
+# Words that names of licences begin with, and what else they are said of.
+BEGINNINGS = ("MIT", "Apache", "GNU", "Mozilla", "BSD", "Creative Commons", "public domain", "general public", "free software", "Eclipse", "proprietary", "zero")
+OTHERS = ("{} building", "{} aircraft", "{} club", "{} office of the town", "{} street", "{} students", "old {} tribe")
+ELSEWHERE = ("The plan was released under the {}.", "He was licensed under the {}.", "They met at the {}", "The food was distributed by the {}.", "A permission of the {} is needed.", "The {} was open to all.", "A book about the {} is available.")
+
+WORD = r"\p{L}+|\p{N}+(?:\.\p{N}+)*|[.:;!?]+"
+_CLOSED, _BLANK = r"([.:;!?])[ \t]*\r?\n", r"\n[ \t\r\n]*\n"
 
 
 def _words(text: str) -> list[str]:
-    return [w.rstrip(".") for w in text.lower().replace("-", " ").split()]
+    found = re.findall(r"[^\W\d_]+|\d+(?:\.\d+)*|[.:;!?]+", text.lower())
+    return [END, *(END if re.fullmatch("[.:;!?]+", w) else w for w in found), END]
 
 
 def grams(words: list[str]) -> set[str]:
     return {" ".join(words[k : k + n]) for n in (1, 2, 3) for k in range(len(words) - n + 1)}
 
 
-@functools.cache
-def fit(features: int = FEATURES) -> tuple[list[str], dict[str, list[float]], list[float]]:
-    """Classes (no licence first), weights by feature, and bias: softmax regression by gradient descent with weight decay.
+def _wordings() -> list[tuple[str, int, int]]:
+    """(wording, class, fold): frames with names, texts and ordinary sentences. A frame is of one fold with all its names."""
+    out = [(s, 0, k % FOLDS) for k, s in enumerate(ORDINARY)]
+    out += [(ELSEWHERE[(k + j) % len(ELSEWHERE)].format(other.format(n)), 0, (k + j) % len(ELSEWHERE) % FOLDS) for k, n in enumerate(BEGINNINGS) for j, other in enumerate(OTHERS)]
+    for c, name in enumerate(_CLASSES[1:], 1):
+        out += [(frame.format(n), c, k % FOLDS) for k, frame in enumerate(FRAMES) for n in NAMES.get(name, ()) if frame != "{}" or " " in n or "-" in n]
+        out += [(s, c, k % FOLDS) for k, s in enumerate(TEXTS.get(name, ()))]
+    return out
 
-    Each template counts whole, behind and before ordinary words, and halved; the decay keeps probabilities moderate,
-    and the temperature is set on the halves, which the descent doesn't see, so that they mean what they say.
-    """
-    classes = [UNKNOWN, *sorted(TEMPLATES)]
-    samples, held = [(_words(s), 0) for s in ORDINARY], []
-    samples += [([], 0)] + [([w], 0) for w in sorted({w for s in ORDINARY for w in _words(s)})]
-    for c, name in enumerate(classes[1:], 1):
-        for k, template in enumerate(TEMPLATES[name]):
-            words, other = _words(template), _words(ORDINARY[(7 * c + k) % len(ORDINARY)])
-            samples += [(words, c), (other[:5] + words, c), (words + other[:5], c)]
-            held += [(words[: len(words) * 3 // 4], c), (words[len(words) // 4 :], c)]
-    held += [(_words(s)[2:], 0) for s in ORDINARY]
+
+_CLASSES = [NONE, *sorted({*NAMES, *TEXTS})]
+
+
+def _samples(wordings: list[tuple[str, int, int]]) -> list[tuple[list[str], int, int]]:
+    """(words, class, fold): each wording whole and between other words."""
+    out = []
+    for k, (wording, c, fold) in enumerate(wordings):
+        words, other = _words(wording), _words(ORDINARY[(7 * c + 3 * k) % len(ORDINARY)])
+        out += [(words, c, fold), ([[*other[:6], *words[1:]], [*words[:-1], *other[-6:]], [*other[:-1], *words[1:-1], *other[2:]]][k % 3], c, fold)]
+    return out
+
+
+def choose_anchors() -> list[str]:
+    """Few words so that every text of a licence has one and every name some, those first that ordinary sentences rarely have."""
+    wanted = [(HAS, n) for own in NAMES.values() for n in own] + [(1, s) for own in TEXTS.values() for s in own]
+    ordinary = [set(_words(s)) for s in ORDINARY]
+    rare = {}
+    for w in {w for _, s in wanted for w in _words(s) if w[0].isalpha() and len(w) > 1}:
+        rare[w] = 1 / (1 + 2 * sum(w in o for o in ordinary)) / (4 if len(w) < 3 else 1)  # short ones are parts of many words
+    found: list[str] = []
+    for most in (1, HAS):
+        left = [(min(n, most) - len(ws & set(found)), ws - set(found)) for n, ws in ((n, {w for w in _words(s) if w in rare}) for n, s in wanted)]
+        while len(found) < ANCHORS and any(n > 0 and ws for n, ws in left):
+            gain: dict[str, float] = {}
+            for n, ws in left:
+                for w in ws if n > 0 else ():
+                    gain[w] = gain.get(w, 0) + rare[w] / len(ws) ** 0.5
+            best = max(sorted(gain), key=gain.__getitem__)
+            found.append(best)
+            left = [(n - (best in ws), ws - {best}) for n, ws in left]
+    return sorted(found)
+
+
+def _descend(x: np.ndarray, y: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax regression by accelerated proximal gradient descent: weights that carry little become zero."""
+    n = len(_CLASSES)
+    goal, step, decay, sparse = np.eye(n, dtype=np.float32)[y], 1.5, 1e-4, 4e-5
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    weight = (1 / np.sqrt(np.bincount(y, minlength=n)[y])).astype(np.float32)[:, None]  # small classes count more than their rows
+    weight /= weight.sum()
+    w = before = np.zeros((x.shape[1], n), np.float32)
+    for k in range(steps):
+        at = w + k / (k + 3) * (w - before)
+        z = x @ at
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        e = (p / p.sum(axis=1, keepdims=True) - goal) * weight
+        new = at - step * (x.T @ e + decay * at)
+        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * sparse, 0)
+        before, w = w, new
+    return w[:-1], w[-1]
+
+
+def _matrix(samples: list, names: list[str]) -> np.ndarray:
+    place = {g: k for k, g in enumerate(names)}
+    x = np.zeros((len(samples), len(names)), np.float32)
+    for k, (words, *_) in enumerate(samples):
+        x[k, [place[g] for g in grams(words) if g in place]] = 1
+    return x
+
+
+@functools.cache
+def fit() -> tuple[list[str], list[str], dict[str, list[float]], list[float], dict[str, float]]:
+    """Classes, anchors, weights by feature, biases, and precision and recall of families in frames left out."""
+    wordings = _wordings()
+    samples, found = _samples(wordings), choose_anchors()
+    anchors = set(found)
     counts: dict[str, int] = {}
-    for words, _ in samples:
+    for words, _, _ in samples:
         for g in grams(words):
-            counts[g] = counts.get(g, 0) + 1
-    vocabulary = sorted(counts)
-
-    def matrix(rows: list, names: list[str]) -> np.ndarray:
-        place = {g: k for k, g in enumerate(names)}
-        x = np.zeros((len(rows), len(names)))
-        for k, (words, _) in enumerate(rows):
-            for g in grams(words) & place.keys():
-                x[k, place[g]] = 1
-        return x
-
-    def descend(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        x, y = matrix(samples, names), np.eye(len(classes))[[c for _, c in samples]]
-        w, b = np.zeros((len(names), len(classes))), np.zeros(len(classes))
-        for _ in range(400):
-            z = x @ w + b
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            e = (p / p.sum(axis=1, keepdims=True) - y) / len(samples)
-            w -= 2.0 * (x.T @ e + 2e-4 * w)
-            b -= 2.0 * e.sum(axis=0)
-        return w, b
-
-    w, _ = descend(vocabulary)
-    names = sorted(vocabulary[k] for k in np.argsort(-np.abs(w).max(axis=1), kind="stable")[:features])
-    w, b = descend(names)
-    z, y = matrix(held, names) @ w + b, np.array([c for _, c in held])
+            if not anchors.isdisjoint(g.split()):
+                counts[g] = counts.get(g, 0) + 1
+    vocabulary = sorted(g for g, n in counts.items() if n > 2)
+    x, y, fold = _matrix(samples, vocabulary), np.array([c for _, c, _ in samples]), np.array([f for *_, f in samples])
+    w, _ = _descend(x, y, STEPS // 2)
+    kept = np.sort(np.argsort(-np.abs(w).max(axis=1), kind="stable")[:FEATURES])
+    x = x[:, kept]
+    out = np.zeros((len(samples), len(_CLASSES)))
+    for f in range(FOLDS):
+        w, b = _descend(x[fold != f], y[fold != f])
+        out[fold == f] = x[fold == f] @ w + b
 
     def loss(t: float) -> float:
-        s = z * t
+        s = out * t
         return float((np.log(np.exp(s - s.max(axis=1, keepdims=True)).sum(axis=1)) + s.max(axis=1) - s[np.arange(len(y)), y]).mean())
 
     t = min((2 ** (k / 4) for k in range(-12, 13)), key=loss)
-    return classes, {g: [round(float(v), 6) for v in w[k] * t] for k, g in enumerate(names)}, [round(float(v), 6) for v in b * t]
+    w, b = _descend(x, y)
+    said, families = out.argmax(axis=1), [k for k, c in enumerate(_CLASSES) if c not in (NONE, UNKNOWN)]
+    named, known = np.isin(said, families), np.isin(y, families)
+    figures = {"precision": float((said == y)[named].mean()), "recall": float((said == y)[known].mean()), "temperature": t}
+    weights = {vocabulary[k]: [round(float(v) * t, 6) for v in w[i]] for i, k in enumerate(kept.tolist()) if np.abs(w[i]).max() > 0}
+    return _CLASSES, found, weights, [round(float(v) * t, 6) for v in b], figures
+
+
+#: Frames by which a name confirms a prediction.
+_CONFIRMING = ("Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "Available under the {}.", "Distributed under the terms of the {}.", "License: {}", "Identifier: {}", "{}", "Code: {}")
 
 
 def template_pairs() -> dict[str, list[list[str]]]:
-    out: dict[str, list[list[str]]] = {}
-    for name in sorted(TEMPLATES):
-        for template in TEMPLATES[name]:
-            words = _words(template)
-            out.setdefault(name, []).append(sorted({" ".join(words[k : k + 2]) for k in range(len(words) - 1)}))
+    """The distinct word pairs of each template of a family."""
+    out = {}
+    for family in sorted({*NAMES, *TEXTS} - {UNKNOWN}):
+        templates = [f.format(n) for f in _CONFIRMING for n in NAMES.get(family, ())] + TEXTS.get(family, [])
+        out[family] = [sorted({" ".join(w[k : k + 2]) for k in range(len(w) - 1)}) for w in map(_words, templates)]
     return out
 
 
-def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Candidate lines: ``key``, ``paragraph`` (number from 0) and ``body`` (lower case)."""
+def paragraphs(docs: DataFrame, key: str, text: str, anchors: list[str]) -> DataFrame:
+    """Paragraphs that hold an anchor: ``key``, ``paragraph`` (number from 0) and ``body`` (lower case)."""
     low = F.lower(F.col(text))
-    some = lambda c: functools.reduce(lambda a, b: a | b, [F.contains(c, F.lit(s)) for s in STEMS])
-    lines = docs.where(some(low)).select(key, F.posexplode(F.split(low, "\n", -1)).alias("paragraph", "body"))
+    some = lambda c: functools.reduce(lambda a, b: a | b, [F.contains(c, F.lit(s)) for s in anchors])
+    closed = F.regexp_replace(low, _CLOSED, "$1\n\n")
+    lines = docs.where(some(low)).select(key, F.posexplode(F.split(closed, _BLANK, -1)).alias("paragraph", "body"))
     return lines.where(some(F.col("body")))
 
 
@@ -154,31 +248,33 @@ def _ngrams(words: Column, n: int) -> Column:
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD, confirm: float = CONFIRM, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per candidate paragraph: ``key``, ``paragraph``, ``family`` (``unknown`` below the threshold),
-    ``probability`` (of the family, or of the likeliest one), ``coverage`` (largest share of the word pairs of one of the
-    family's templates that the paragraph has) and ``confirmed``.
+    """One row per paragraph that more probably has a licence than none: ``key``, ``paragraph`` (number from 0), ``family``
+    (``unknown`` below the threshold), ``probability`` (of the family, or of the likeliest one), ``coverage`` (largest share
+    of the word pairs of one of the family's templates that the paragraph has) and ``confirmed``.
 
-    Null and empty texts have no candidates; each row is judged alone, so repeated rows get equal results, and a null
-    key is kept. Ties go to the family first in alphabetical order. Nothing is shuffled.
+    Null and empty texts have no paragraphs; each row is judged alone, so repeated rows get equal results, and a null key is
+    kept. Ties go to the family first in alphabetical order. Columns other than the key are left out; an empty table gives
+    an empty result. Nothing is shuffled.
     """
-    classes, weights, bias = fit()
+    classes, anchors, weights, bias, _ = fit()
     model = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for g in weights for x in (g, weights[g])])
-    rows = paragraphs(docs.select(key, text), key, text).withColumn("words", F.regexp_extract_all("body", F.lit(f"({WORD})"), F.lit(1)))
+    pairs, families = template_pairs(), [c for c in classes if c not in (NONE, UNKNOWN)]
+    rows = paragraphs(docs.select(key, text), key, text, anchors)
+    own = F.regexp_extract_all("body", F.lit(f"({WORD})"), F.lit(1))
+    own = F.transform(own, lambda w: F.when(w.rlike("^[.:;!?]"), END).otherwise(w))
+    rows = rows.withColumn("words", F.concat(F.array(F.lit(END)), own, F.array(F.lit(END))))
     rows = rows.withColumn("pairs", F.array_distinct(_ngrams(F.col("words"), 2)))
-    features = F.array_distinct(F.concat(F.col("words"), F.col("pairs"), _ngrams(F.col("words"), 3)))
-    known = F.filter(F.transform(features, lambda g: F.try_element_at(model, g)), lambda v: v.isNotNull())
-    logits = F.aggregate(known, F.array(*map(F.lit, bias)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    features = F.array_intersect(F.concat(F.col("words"), F.col("pairs"), _ngrams(F.col("words"), 3)), F.array(*map(F.lit, weights)))
+    logits = F.aggregate(F.transform(features, lambda g: F.element_at(model, g)), F.array(*map(F.lit, bias)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
     rows = rows.withColumn("logits", logits)
     top = F.array_max("logits")
     odds = F.transform("logits", lambda z: F.exp(z - top))
-    rows = rows.withColumn("p", F.transform(odds, lambda o: o / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)))
-    families = F.slice("p", 2, len(classes) - 1)
-    rows = rows.withColumn("best", F.array_max(families)).withColumn("named", F.element_at(F.array(*map(F.lit, classes[1:])), F.array_position(families, F.col("best")).cast("int")))
-    pairs = template_pairs()
-    share = lambda own: F.size(F.array_intersect("pairs", F.array(*map(F.lit, own)))) / float(max(1, len(own)))
+    rows = rows.withColumn("p", F.transform(odds, lambda o: o / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x))).where(F.get("p", F.lit(0)) < 0.5)
+    named = F.array(*[F.get("p", F.lit(classes.index(c))) for c in families])
+    rows = rows.withColumn("best", F.array_max(named)).withColumn("named", F.element_at(F.array(*map(F.lit, families)), F.array_position(named, F.col("best")).cast("int")))
+    share = lambda own: F.size(F.array_intersect("pairs", F.array(*map(F.lit, own)))) / float(len(own))
     coverage = functools.reduce(lambda a, name: a.when(F.col("named") == name, F.greatest(*map(share, pairs[name]), F.lit(0.0))), sorted(pairs), F.when(F.lit(False), 0.0))
-    family = F.when(F.col("best") >= threshold, F.col("named")).otherwise(UNKNOWN)
-    rows = rows.withColumn("family", family).withColumn("coverage", coverage)
+    rows = rows.withColumn("family", F.when(F.col("best") >= threshold, F.col("named")).otherwise(UNKNOWN)).withColumn("coverage", coverage)
     return rows.select(key, "paragraph", "family", F.col("best").alias("probability"), "coverage", ((F.col("family") != UNKNOWN) & (F.col("coverage") >= confirm)).alias("confirmed"))
 
 
@@ -187,35 +283,40 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    classes, weights, bias = fit()
+    classes, anchors, weights, bias, _ = fit()
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     rows = ", ".join(f"({quote(g)}, {k}, {v!r}::DOUBLE)" for g, w in weights.items() for k, v in enumerate(w))
     biases = ", ".join(f"({k}, {quote(c)}, {b!r}::DOUBLE)" for k, (c, b) in enumerate(zip(classes, bias, strict=True)))
     pairs = ", ".join(f"({quote(name)}, {n}, {quote(p)}, {len(own)})" for name, lists in template_pairs().items() for n, own in enumerate(lists) for p in own)
-    some = lambda c: "(" + " OR ".join(f"contains({c}, {quote(s)})" for s in STEMS) + ")"
     return f"""
 WITH model(g, k, w) AS (VALUES {rows}), classes(k, name, b) AS (VALUES {biases}), templates(name, n, pair, size) AS (VALUES {pairs}),
-lines AS (SELECT doc_id, unnest(range(len(ls))) AS paragraph, unnest(ls) AS body FROM (SELECT doc_id, string_split(lower(text), chr(10)) AS ls FROM documents)),
-own AS (SELECT doc_id, paragraph, regexp_extract_all(body, '{WORD}') AS ws FROM lines WHERE {some('body')}),
+lines AS (SELECT doc_id, unnest(range(len(ls))) AS paragraph, unnest(ls) AS body FROM (
+  SELECT doc_id, string_split_regex(regexp_replace(lower(text), '([.:;!?])[ \\t]*\\r?\\n', '\\1' || chr(10) || chr(10), 'g'), '\\n[ \\t\\r\\n]*\\n') AS ls FROM documents)),
+own AS (SELECT doc_id, paragraph, list_prepend('{END}', list_append(list_transform(regexp_extract_all(body, '{WORD}'), lambda w: CASE WHEN regexp_matches(w, '^[.:;!?]') THEN '{END}' ELSE w END), '{END}')) AS ws
+  FROM lines WHERE {' OR '.join(f"contains(body, {quote(a)})" for a in anchors)}),
 gram AS (
   SELECT DISTINCT doc_id, paragraph, n, g FROM (
     SELECT doc_id, paragraph, 1 AS n, unnest(ws) AS g FROM own
     UNION ALL SELECT doc_id, paragraph, 2, unnest(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i:i + 1], ' '))) FROM own
     UNION ALL SELECT doc_id, paragraph, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) FROM own)
+), sums AS (
+  SELECT doc_id, paragraph, k, sum(w) AS s FROM gram JOIN model USING (g) GROUP BY ALL
 ), score AS (
-  SELECT own.doc_id, own.paragraph, c.k, c.name, c.b + coalesce((SELECT sum(w) FROM gram JOIN model USING (g) WHERE gram.doc_id = own.doc_id AND gram.paragraph = own.paragraph AND model.k = c.k), 0) AS z FROM own, classes c
+  SELECT own.doc_id, own.paragraph, c.k, c.name, c.b + coalesce(s, 0) AS z FROM own CROSS JOIN classes c LEFT JOIN sums ON sums.doc_id = own.doc_id AND sums.paragraph = own.paragraph AND sums.k = c.k
 ), p AS (
   SELECT doc_id, paragraph, k, name, exp(z - max(z) OVER w) / sum(exp(z - m)) OVER w AS p FROM (SELECT *, max(z) OVER (PARTITION BY doc_id, paragraph) AS m FROM score) WINDOW w AS (PARTITION BY doc_id, paragraph)
 ), best AS (
-  SELECT * FROM p WHERE k > 0 QUALIFY row_number() OVER (PARTITION BY doc_id, paragraph ORDER BY p DESC, k) = 1
+  SELECT * FROM p WHERE name NOT IN ('{NONE}', '{UNKNOWN}') QUALIFY row_number() OVER (PARTITION BY doc_id, paragraph ORDER BY p DESC, k) = 1
+), told AS (
+  SELECT best.* FROM best JOIN p none ON none.doc_id = best.doc_id AND none.paragraph = best.paragraph AND none.name = '{NONE}' WHERE none.p < 0.5
 ), cover AS (
-  SELECT best.doc_id, best.paragraph, t.n, count(gram.g) / any_value(t.size) AS share
-  FROM best JOIN templates t ON t.name = best.name LEFT JOIN gram ON gram.doc_id = best.doc_id AND gram.paragraph = best.paragraph AND gram.n = 2 AND gram.g = t.pair
+  SELECT told.doc_id, told.paragraph, t.n, count(gram.g) / any_value(t.size) AS share
+  FROM told JOIN templates t ON t.name = told.name LEFT JOIN gram ON gram.doc_id = told.doc_id AND gram.paragraph = told.paragraph AND gram.n = 2 AND gram.g = t.pair
   GROUP BY ALL
 )
 SELECT doc_id, CAST(paragraph AS INTEGER) AS paragraph, CASE WHEN any_value(p) >= {THRESHOLD} THEN any_value(name) ELSE '{UNKNOWN}' END AS family,
   round(any_value(p), 6) AS probability, round(max(share), 6) AS coverage, any_value(p) >= {THRESHOLD} AND max(share) >= {CONFIRM} AS confirmed
-FROM best JOIN cover USING (doc_id, paragraph) GROUP BY doc_id, paragraph
+FROM told JOIN cover USING (doc_id, paragraph) GROUP BY doc_id, paragraph
 """
 
 
