@@ -50,12 +50,18 @@ def canonicalise(entities: DataFrame) -> DataFrame:
 def merge(entities: DataFrame) -> DataFrame:
     """One row per canonical id: first type, distinct aliases in order, number of sources, mean confidence.
 
-    ``pos`` orders rows; the partial aggregates of a popular name are merged like any others.
+    ``pos`` orders rows. Rows are summed up by canonical id and name first, so a name that many rows share is one row
+    when aliases are gathered; an entity gathers its different names only.
     """
+    vector = ["embedding"] if "embedding" in entities.columns else []
+    seen = F.when(F.col("embedding").isNotNull(), F.col("pos")) if vector else None
+    exact = F.sum(F.col("confidence").cast("decimal(20,8)"))
+    typed = F.min(F.struct("pos", "canonical_type"))
+    by_name = entities.groupBy("canonical_id", "name").agg(typed.alias("t"), F.min("pos").alias("pos"), F.count("*").alias("n"), F.count("confidence").alias("k"), exact.alias("s"), *[F.min(F.when(seen.isNotNull(), F.struct(F.col("pos"), F.col("embedding")))).alias("v") for _ in vector])
     alias = F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda s: s["name"])
-    vector = [F.min_by("embedding", F.when(F.col("embedding").isNotNull(), F.col("pos"))).alias("embedding")] if "embedding" in entities.columns else []
-    return entities.groupBy("canonical_id").agg(
-        F.min_by("canonical_type", "pos").alias("type"), F.array_distinct(alias).alias("aliases"), F.count("*").alias("n_sources"), mean(F.col("confidence")).alias("confidence"), *vector,
+    confidence = F.floor(F.sum("s").cast("double") / F.sum("k") * 10**4 + 0.5) / 1e4
+    return by_name.groupBy("canonical_id").agg(
+        F.min("t")["canonical_type"].alias("type"), alias.alias("aliases"), F.sum("n").alias("n_sources"), confidence.alias("confidence"), *[F.min("v")["embedding"].alias(x) for x in vector],
     )
 
 

@@ -40,11 +40,14 @@ def _read(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: json.dumps(java.read(t)))
 
 
+_read_once = _read.asNondeterministic()  # else what is filtered by a tree's parts would be parsed below the filter, and again above
+
+
 def parse(files: DataFrame, keep: bool = False) -> DataFrame:
     """Files with their parse tree. Parsing is what costs here, so files are dealt to all cores first; with ``keep`` the
     trees are written to the shared checkpoint folder, for plans that read them more than once."""
     width = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    made = files.repartition(width, "repository", "path").withColumn("j", _read("text")).drop("text")
+    made = files.repartition(width, "repository", "path").withColumn("j", _read_once("text")).drop("text")
     made = checkpoint(made) if keep else made
     return made.withColumn("j", F.from_json("j", SHAPE)).withColumn("package", F.col("j.package"))
 
@@ -170,6 +173,23 @@ def resolve_annotations(found: DataFrame, imported: DataFrame) -> DataFrame:
     return annotations(found).join(index, ["path", "name"], "left").withColumn("full_name", F.coalesce("imported", "name")).drop("imported")
 
 
+def annotation_edges(found: DataFrame, imported: DataFrame) -> DataFrame:
+    """HAS_ANNOTATION from what is annotated, and ANNOTATION_TYPE from an annotation to its declared type. An annotation is
+    named by its path, what it stands on, its full name and line."""
+    a = resolve_annotations(found, imported)
+    node = F.concat_ws("@", "target", "full_name", F.col("line").cast("string"))
+    has = a.select("path", F.lit("HAS_ANNOTATION").alias("type"), F.col("target").alias("source"), node.alias("target"), "target_kind")
+    declared = a.join(found.select("full_name").distinct(), "full_name", "left_semi")
+    return has.union(declared.select("path", F.lit("ANNOTATION_TYPE"), node, "full_name", "target_kind"))
+
+
+def parameter_edges(members: DataFrame) -> DataFrame:
+    """HAS_PARAMETER from a method or constructor to each of its parameters."""
+    p = parameters(members)
+    source = F.concat_ws("#", "owner", "member")
+    return p.select("path", F.lit("HAS_PARAMETER").alias("type"), source.alias("source"), F.concat(source, F.lit("("), F.col("name"), F.lit(")")).alias("target"), "line", "position")
+
+
 def annotation_types(found: DataFrame, imported: DataFrame) -> DataFrame:
     """Annotations whose full name is a declared type."""
     return resolve_annotations(found, imported).join(found.select("full_name").distinct(), "full_name", "left_semi")

@@ -81,14 +81,19 @@ def first_children(found: DataFrame) -> DataFrame:
 
 
 def depth_and_path(found: DataFrame) -> DataFrame:
-    """Number of ancestors and their names from the top, by at most five steps up (there are six levels)."""
-    up = found.select("doc_id", F.col("start").alias("at"), F.col("name").alias("above"), F.col("parent").alias("upper"))
-    out = found.withColumn("at", F.col("parent")).withColumn("path", F.array("name")).withColumn("depth", F.lit(0))
-    for _ in range(5):
-        out = out.join(up, ["doc_id", "at"], "left")
-        out = out.withColumn("path", F.when(F.col("above").isNotNull(), F.concat(F.array("above"), "path")).otherwise(F.col("path"))).withColumn("depth", F.col("depth") + F.col("above").isNotNull().cast("int"))
-        out = out.withColumn("at", F.col("upper")).drop("above", "upper")
-    return out.drop("at").withColumn("path", F.array_join("path", " / "))
+    """Number of ancestors and their names from the top.
+
+    The last section before of each level above is an ancestor if it starts behind those of all levels over it, so one
+    pass in the order of sections finds the whole chain.
+    """
+    before = _by("start").rowsBetween(Window.unboundedPreceding, -1)
+    seen = [F.max(F.when(F.col("level") == k, F.struct("start", "name"))).over(before) for k in range(1, 6)]
+    out = found.withColumns({f"__gl_{k}": s for k, s in enumerate(seen, 1)})
+    last = [F.col(f"__gl_{k}") for k in range(1, 6)]
+    above = [F.when((F.col("level") > k + 1) & (s["start"] > F.greatest(F.lit(-1), F.lit(-1), *[o["start"] for o in last[:k]])), s["name"]) for k, s in enumerate(last)]
+    chain = F.filter(F.array(*above), lambda x: x.isNotNull())
+    out = out.withColumn("path", F.array_join(F.concat(chain, F.array("name")), " / ")).withColumn("depth", F.size(chain))
+    return out.drop(*[f"__gl_{k}" for k in range(1, 6)])
 
 
 def section_of(found: DataFrame, content: DataFrame, at: str = "start") -> DataFrame:

@@ -23,20 +23,26 @@ def infer_parser(raw: DataFrame) -> DataFrame:
 def normalise_relationships(raw: DataFrame, entities: DataFrame, entity_prefix: str = ENTITY_PREFIX, relation_prefix: str = RELATION_PREFIX) -> DataFrame:
     """``source``, ``target`` (entity ids, or the text where no entity has the name), ``type``, version 5 UUIDs of both
     ends and of the edge, and ``confidence``, from (``source``, ``target``, ``relation``, ``confidence``, ``pos``)."""
-    index = last_of_name(entities)
+    index = last_of_name(entities).withColumn("uuid", names.uuid5(F.concat(F.lit(entity_prefix), "id")))  # once a name, not once an edge
     out = raw.withColumn("s", F.lower("source")).withColumn("t", F.lower("target"))
-    out = out.join(index.select(F.col("lower").alias("s"), F.col("id").alias("sid")), "s", "left").join(index.select(F.col("lower").alias("t"), F.col("id").alias("tid")), "t", "left")
+    out = out.join(index.select(F.col("lower").alias("s"), F.col("id").alias("sid"), F.col("uuid").alias("su")), "s", "left").join(index.select(F.col("lower").alias("t"), F.col("id").alias("tid"), F.col("uuid").alias("tu")), "t", "left")
     out = out.withColumn("original_type", F.col("relation")).withColumn("type", names.canonical_relation(F.col("relation")))
-    out = out.withColumn("source", F.coalesce("sid", "source")).withColumn("target", F.coalesce("tid", "target")).drop("s", "t", "sid", "tid", "relation")
-    out = out.withColumn("source_id", names.uuid5(F.concat(F.lit(entity_prefix), "source"))).withColumn("target_id", names.uuid5(F.concat(F.lit(entity_prefix), "target")))
-    return out.withColumn("id", names.uuid5(F.concat_ws(":", F.lit(relation_prefix.rstrip(":")), "source_id", "target_id", "type")))
+    out = out.withColumn("source_id", F.coalesce("su", names.uuid5(F.concat(F.lit(entity_prefix), "source")))).withColumn("target_id", F.coalesce("tu", names.uuid5(F.concat(F.lit(entity_prefix), "target"))))
+    out = out.withColumn("source", F.coalesce("sid", "source")).withColumn("target", F.coalesce("tid", "target")).drop("s", "t", "sid", "tid", "su", "tu", "relation")
+    return out.withColumn("id", _edge_id(relation_prefix))
 
 
-def merge_edges(edges: DataFrame) -> DataFrame:
+def _edge_id(relation_prefix: str):
+    return names.uuid5(F.concat_ws(":", F.lit(relation_prefix.rstrip(":")), "source_id", "target_id", "type"))
+
+
+def merge_edges(edges: DataFrame, entity_prefix: str = ENTITY_PREFIX, relation_prefix: str = RELATION_PREFIX) -> DataFrame:
     """One row per source, target and type: the most confident edge (the first of equals), all original types, and how
-    many edges it stands for."""
+    many edges it stands for. UUIDs follow from the three, so they are made for merged edges only."""
     best = F.max_by("original_type", F.struct("confidence", -F.col("pos")))
-    return edges.groupBy("id", "source", "target", "type").agg(best.alias("original_type"), F.max("confidence").alias("confidence"), F.array_sort(F.collect_set("original_type")).alias("original_types"), F.count("*").alias("n_provenance"))
+    out = edges.groupBy("source", "target", "type").agg(best.alias("original_type"), F.max("confidence").alias("confidence"), F.array_sort(F.collect_set("original_type")).alias("original_types"), F.count("*").alias("n_provenance"))
+    ends = {f"{end}_id": names.uuid5(F.concat(F.lit(entity_prefix), end)) for end in ("source", "target")}
+    return out.withColumns(ends).withColumn("id", _edge_id(relation_prefix)).drop(*ends).select("id", *out.columns)
 
 
 def existing_ends(edges: DataFrame, nodes: DataFrame, key: str = "id") -> DataFrame:

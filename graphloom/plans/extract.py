@@ -35,13 +35,13 @@ RESOURCES = """SELECT 'r' || CAST(k % 3 AS STRING) AS repository, path, text FRO
   SELECT p_partkey AS k, 'mod' || CAST(p_size % 5 AS STRING) || '/' || CASE p_size % 3 WHEN 0 THEN 'sub/' ELSE '' END || CASE p_partkey % 5 WHEN 0 THEN 'target/' ELSE 'src/' END || 'f' || CAST(p_partkey AS STRING) || '.properties' AS path,
     '# comment' || chr(10) || 'a.name = ' || p_name || ' ' || chr(10) || 'b:x' || CAST(p_size AS STRING) || chr(10) || 'long=one,' || chr(92) || chr(10) || '   two' || chr(10) || '!no' || chr(10) || 'a.name=' || p_brand || chr(10) || 'flag' AS text FROM @part
   UNION ALL SELECT p_partkey, 'mod' || CAST(p_size % 5 AS STRING) || '/c' || CAST(p_partkey AS STRING) || '.yml', 'server: {port: ' || CAST(p_size AS STRING) || ', hosts: [a, b]}' || chr(10) || 'name: "' || p_name || '"' || chr(10) || '---' || chr(10) || 'extra: true' || chr(10) || 'none:' FROM @part WHERE p_partkey % 3 = 0
-  UNION ALL SELECT p_partkey, 'mod' || CAST(p_partkey % 50 AS STRING) || '/pom.xml', '<?xml version="1.0"?><project xmlns="http://m"><parent><groupId>g' || CAST(p_size AS STRING) || '</groupId><version>1.' || CAST(p_size AS STRING) || '</version></parent><artifactId>a' || CAST(p_partkey AS STRING) || '</artifactId>' || CASE WHEN p_size % 2 = 0 THEN '<version> 2 </version>' ELSE '' END || '<modules><module>sub</module><module>gone</module></modules><dependencies><dependency><groupId>x</groupId><artifactId>d1</artifactId></dependency><dependency><artifactId>d2</artifactId></dependency></dependencies></project>' FROM @part WHERE p_partkey < 100
-  UNION ALL SELECT p_partkey, 'mod' || CAST(p_partkey % 50 AS STRING) || '/build.gradle', 'group = "g' || CAST(p_size AS STRING) || '"' || chr(10) || 'dependencies { implementation("a:b:1") ' || chr(10) || 'api "c:d:2" }' FROM @part WHERE p_partkey BETWEEN 30 AND 60
+  UNION ALL SELECT p_partkey, 'mod' || CAST(p_partkey AS STRING) || '/pom.xml', '<?xml version="1.0"?><project xmlns="http://m"><parent><groupId>g' || CAST(p_size AS STRING) || '</groupId><version>1.' || CAST(p_size AS STRING) || '</version></parent><artifactId>a' || CAST(p_partkey AS STRING) || '</artifactId>' || CASE WHEN p_size % 2 = 0 THEN '<version> 2 </version>' ELSE '' END || '<modules><module>sub</module><module>gone</module></modules><dependencies><dependency><groupId>x</groupId><artifactId>d1</artifactId></dependency><dependency><artifactId>d2</artifactId></dependency></dependencies><properties><java.version>' || CAST(p_size AS STRING) || '</java.version><empty/></properties><build><plugins><plugin><groupId>p</groupId><artifactId>shade</artifactId></plugin></plugins></build></project>' FROM @part
+  UNION ALL SELECT p_partkey, 'mod' || CAST(p_partkey + p_partkey % 2 AS STRING) || '/build.gradle', 'group = "g' || CAST(p_size AS STRING) || '"' || chr(10) || 'dependencies { implementation("a:b:1") ' || chr(10) || 'api "c:d:2" }' FROM @part
   UNION ALL SELECT p_partkey, 'src/main/java/q/P' || CAST(p_partkey AS STRING) || '.java', '// x' || chr(10) || ' package q.p' || CAST(p_size AS STRING) || ';' || chr(10) || 'class P { }' || CASE WHEN p_size % 2 = 0 THEN chr(10) ELSE '' END FROM @part WHERE p_partkey % 2 = 0
   UNION ALL SELECT p_partkey, 'lib/com/acme/Q' || CAST(p_partkey AS STRING) || '.java', 'package com.acme;' FROM @part WHERE p_partkey % 7 = 0
   UNION ALL SELECT p_partkey, 'db/' || CAST(p_partkey AS STRING) || '.xml', CASE WHEN p_size % 2 = 0 THEN '<databaseChangeLog xmlns="u"><changeSet id="c' || CAST(p_size AS STRING) || '"/></databaseChangeLog>' ELSE '<b:beans xmlns:b="u"><b:bean id="x"/><b:bean id="y"/></b:beans>' END FROM @part WHERE p_partkey % 11 = 0)"""
 D_RESOURCES = duck(RESOURCES)
-MODULES = """SELECT DISTINCT 'r' || CAST(p_partkey % 3 AS STRING) AS repository, 'mod' || CAST(p_size % 4 AS STRING) || CASE WHEN p_size % 2 = 0 THEN '/sub' ELSE '' END AS module FROM @part WHERE p_size < 20"""
+MODULES = """SELECT DISTINCT 'r' || CAST(p_partkey % 3 AS STRING) AS repository, 'mod' || CAST(p_size % 4 AS STRING) || CASE WHEN p_size % 2 = 0 THEN '/sub' ELSE '' END AS module FROM @part"""
 LINKS = """SELECT page_id AS k, CASE WHEN page_id % 5 = 0 THEN ' ' ELSE ' Guide V1.' || CAST(page_id % 3 AS STRING) || '.' || CAST(page_id AS STRING) || ' 2.0 ' END AS title, CASE WHEN page_id % 7 = 0 THEN '' ELSE url || '/files/doc' || CAST(page_id AS STRING) || '.pdf?x=1' END AS href FROM @pages"""
 
 
@@ -116,7 +116,7 @@ QUERIES = {
     "summary_rollup": lambda spark, d: table(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.count_if(F.col("l_quantity") > 25).alias("large"), F.countDistinct("l_suppkey").alias("suppliers")),
     "res_inventory": lambda spark, d: resources.inventory(repository(spark, d)),
     "res_build_systems": lambda spark, d: resources.build_systems(repository(spark, d)).where("build_system <> 'unknown'"),
-    "res_pom": lambda spark, d: resources.maven(repository(spark, d)).withColumn("modules", joined("modules")).withColumn("dependencies", joined("dependencies")).drop("plugins", "properties"),
+    "res_pom": lambda spark, d: resources.maven(repository(spark, d)).withColumn("modules", joined("modules")).withColumn("dependencies", joined("dependencies")).withColumn("plugins", joined("plugins")).withColumn("properties", F.array_join(F.transform(F.array_sort(F.map_entries("properties")), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")),
     "res_gradle": lambda spark, d: resources.gradle(repository(spark, d)).withColumn("modules", joined("modules")).withColumn("dependencies", joined("dependencies")),
     "res_modules": lambda spark, d: resources.modules(rows(spark, d, MODULES).groupBy("repository").agg(F.collect_list("module").alias("modules")), repository(spark, d)),
     "res_module_prefix_join": lambda spark, d: resources.resources(repository(spark, d), rows(spark, d, MODULES)),
@@ -191,7 +191,7 @@ ORACLES = {
     "summary_rollup": "SELECT l_returnflag, l_linestatus, count(*) AS n, count(*) FILTER (l_quantity > 25) AS large, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)",
     "res_inventory": f"SELECT repository, path, regexp_extract(text, '(?m)^\\s*package\\s+([\\w.]+)\\s*;', 1) AS package, CAST(len(string_split(text, chr(10))) - CASE WHEN text LIKE '%' || chr(10) THEN 1 ELSE 0 END AS INTEGER) AS n_lines, CASE WHEN starts_with(path, 'src/main/java/') THEN 'src/main/java' ELSE 'lib' END AS source_root FROM ({D_RESOURCES}) WHERE path LIKE '%.java'",
     "res_build_systems": f"SELECT repository, {D_FOLDER} AS directory, CASE WHEN bool_or(path LIKE '%pom.xml') THEN 'maven' ELSE 'gradle' END AS build_system FROM ({D_RESOURCES}) WHERE path LIKE '%/pom.xml' OR path LIKE '%/build.gradle' GROUP BY ALL",
-    "res_pom": f"SELECT repository, path, regexp_extract(text, '<parent><groupId>(.*?)</groupId>', 1) AS group_id, regexp_extract(text, '</parent><artifactId>(.*?)</artifactId>', 1) AS artifact_id, CASE WHEN contains(text, '<version> 2 ') THEN '2' ELSE regexp_extract(text, '<version>(.*?)</version>', 1) END AS version, 'jar' AS packaging, 'sub|gone' AS modules, 'd1|d2' AS dependencies FROM ({D_RESOURCES}) WHERE path LIKE '%/pom.xml'",
+    "res_pom": f"SELECT repository, path, regexp_extract(text, '<parent><groupId>(.*?)</groupId>', 1) AS group_id, regexp_extract(text, '</parent><artifactId>(.*?)</artifactId>', 1) AS artifact_id, CASE WHEN contains(text, '<version> 2 ') THEN '2' ELSE regexp_extract(text, '<version>(.*?)</version>', 1) END AS version, 'jar' AS packaging, 'sub|gone' AS modules, 'd1|d2' AS dependencies, 'shade' AS plugins, 'empty=|java.version=' || regexp_extract(text, '<java.version>(.*?)</java.version>', 1) AS properties FROM ({D_RESOURCES}) WHERE path LIKE '%/pom.xml'",
     "res_gradle": f"SELECT repository, path, regexp_extract(text, 'group = \"(.*?)\"', 1) AS group_id, NULL::VARCHAR AS version, 'a:b:1|c:d:2' AS dependencies, '' AS modules FROM ({D_RESOURCES}) WHERE path LIKE '%/build.gradle'",
     "res_modules": f"SELECT r.repository, coalesce(m.module, '') AS module FROM (SELECT DISTINCT repository FROM ({D_RESOURCES})) r LEFT JOIN (SELECT * FROM ({duck(MODULES)}) m WHERE EXISTS (SELECT 1 FROM ({D_RESOURCES}) f WHERE f.repository = m.repository AND starts_with(f.path, m.module || '/'))) m ON m.repository = r.repository",
     "res_module_prefix_join": D_MODULED,

@@ -50,7 +50,22 @@ def imported(spark, d):
     return jv.imports(jv.parse(files(spark, d)))
 
 
+def resolved_as(kind):
+    """Edges of a kind with full names: those from one class to one target are a row each."""
+
+    def query(spark, d):
+        types, _ = both(spark, d)
+        edges = jv.inheritance(types).where("type = 'IMPLEMENTS'") if kind == "IMPLEMENTS" else jv.injections(types).withColumn("member", F.coalesce("member", F.lit("")))
+        return jv.resolve_names(edges, types, kind != "INJECTS").select("path", "source", "target", "full_target", "target_module", *(["member"] if kind == "INJECTS" else []))
+
+    return query
+
+
 QUERIES = {
+    "java_has_parameter": lambda spark, d: jv.parameter_edges(members(spark, d)).select("path", "type", "source", "target", "position"),
+    "java_annotation_edges": lambda spark, d: jv.annotation_edges(*both(spark, d)).select("path", "type", F.regexp_replace("source", "@\\d+$", "").alias("source"), F.regexp_replace("target", "@\\d+$", "").alias("target"), "target_kind"),
+    "java_implements_resolution": resolved_as("IMPLEMENTS"),
+    "java_injects_resolution": resolved_as("INJECTS"),
     "java_types": lambda spark, d: found(spark, d).select("repository", "module", "path", "kind", "full_name", "visibility", "superclass"),
     "java_imports": lambda spark, d: imported(spark, d).select("path", "name", "simple_name", "wildcard"),
     "java_fields": lambda spark, d: jv.fields(found(spark, d)).select("path", "owner", "name", "type", "visibility", "static"),
@@ -71,7 +86,20 @@ QUERIES = {
 D_CLASSES = f"SELECT *, {FULL} AS full_name FROM ({D}) WHERE shape < 3"
 D_IMPORTS = f"SELECT path, 'org.spring.' || mark AS name, mark AS simple_name, false AS wildcard FROM ({D}) UNION ALL SELECT path, 'java.util', 'util', true FROM ({D})"
 D_FIRST = "CASE WHEN package = '' THEN '' ELSE package || '.' END"
+D_INDEX = f"SELECT *, {FULL} AS full_name FROM ({D})"
+
+
+def d_resolved(edges: str, near: str) -> str:
+    return f"""SELECT path, source, target, coalesce(full_name, target) AS full_target, module AS target_module, member FROM (SELECT e.path, e.source, e.target, e.member, t.full_name, t.module, row_number() OVER (PARTITION BY e.path, e.source, e.target, e.member ORDER BY {near} t.path) AS r
+      FROM ({edges}) e LEFT JOIN ({D_INDEX}) t ON t.name = e.target) WHERE r = 1"""
+
+
+D_HAS = f"SELECT path, target_kind, target, full_name, CASE WHEN full_name = 'Autowired' THEN 3 ELSE 2 END AS o FROM (SELECT path, 'type' AS target_kind, full_name AS target, 'org.spring.' || mark AS full_name FROM ({D_CLASSES}) UNION ALL SELECT path, 'type', full_name, 'GetMapping' FROM ({D_CLASSES}) WHERE mark = 'RestController' UNION ALL SELECT path, 'field', full_name || '#' || unnest(['dep', 'other']), 'Autowired' FROM ({D_CLASSES}))"
 ORACLES = {
+    "java_has_parameter": f"SELECT path, 'HAS_PARAMETER' AS type, full_name || '#' || m AS source, full_name || '#' || m || '(' || p || ')' AS target, CAST(o AS INTEGER) AS position FROM (SELECT path, full_name, 'run' AS m, unnest(['x', 'more']) AS p, unnest([0, 1]) AS o FROM ({D_CLASSES}) UNION ALL SELECT path, full_name, name, unnest(['a', 'n']), unnest([0, 1]) FROM ({D_CLASSES}) WHERE shape < 2)",
+    "java_annotation_edges": f"SELECT path, 'HAS_ANNOTATION' AS type, target AS source, target || '@' || full_name AS target, target_kind FROM ({D_HAS})",
+    "java_implements_resolution": "SELECT * EXCLUDE (member) FROM (" + d_resolved(f"SELECT path, package, name AS source, unnest(['Comparable', 'Api']) AS target, '' AS member FROM ({D}) WHERE shape < 3 UNION ALL SELECT path, package, name, unnest(['Base', 'Other']), '' FROM ({D}) WHERE shape = 3", "CASE WHEN t.package = e.package THEN 0 ELSE 1 END,") + ")",
+    "java_injects_resolution": d_resolved(f"SELECT path, package, name AS source, used AS target, unnest(['dep', 'other']) AS member FROM ({D}) WHERE shape < 3 UNION ALL SELECT path, package, name, used, '' FROM ({D}) WHERE shape = 1", ""),
     "java_types": f"SELECT repository, module, path, CASE WHEN shape = 3 THEN 'interface' ELSE 'class' END AS kind, {FULL} AS full_name, CASE WHEN shape = 3 THEN 'package-private' ELSE 'public' END AS visibility, CASE shape WHEN 1 THEN used || '<String>' WHEN 3 THEN 'Base<' || used || '>' END AS superclass FROM ({D})",
     "java_imports": D_IMPORTS,
     "java_fields": f"SELECT path, full_name AS owner, n AS name, CASE n WHEN 'count' THEN 'int' ELSE used END AS type, CASE n WHEN 'count' THEN 'package-private' ELSE 'private' END AS visibility, n = 'count' AS static FROM (SELECT *, unnest(['dep', 'other', 'count']) AS n FROM ({D_CLASSES}))",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from graphloom.functions.checkpoints import checkpoint
 from graphloom.functions import tables, urls
 from graphloom.operators import markdown as md
 from graphloom.plans.base import duck, quoted, rows
@@ -68,7 +69,7 @@ def containers(spark, d):
 
 
 def content(spark, d):
-    ls = line_rows(spark, d)
+    ls = checkpoint(line_rows(spark, d))  # cut once, for all kinds of blocks
     blocks = [("heading", md.headings(ls).select("doc_id", F.col("line").alias("start"))), ("table", md.tables(ls)), ("list", md.lists(ls)), ("paragraph", md.paragraphs(ls)), ("code", md.code_blocks(ls))]
     every = None
     for kind, f in blocks:

@@ -9,7 +9,7 @@ from graphloom.plans.base import rows
 from graphloom.plans.normalise import NAMES
 
 EDGES = """SELECT l_orderkey * 8 + l_linenumber AS pos, p_name AS source, p_type AS target, CASE l_linenumber WHEN 1 THEN 'calls' WHEN 2 THEN 'dependsOn' ELSE 'documents' END AS relation, l_discount AS confidence
-FROM @lineitem JOIN @part ON p_partkey = l_partkey WHERE l_linenumber < 4"""
+FROM @lineitem JOIN @part ON p_partkey = l_partkey"""
 
 
 def graph(spark, d):
