@@ -127,6 +127,8 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
     Two rows link if their fingerprints differ in at most ``radius`` bits. Rows of one fingerprint are one node, so
     copies are never paired. Null or wordless text has fingerprint zero and links like any other. A row with a null
     key takes part in links, but never names a component; a component of such rows only has a null ``component_id``.
+    Rows that repeat a key are rows of their own. Keys are whole numbers; one that cannot be cast to a long raises an
+    error. Other columns are left out; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     prints = checkpoint(docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("__gl_text")).mapInArrow(_fingerprint(key, "__gl_text", shingle), f"{key} long, fingerprint long"))
@@ -136,11 +138,12 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
     buckets = 8 * partitions(spark)
     placed = entries.select("fingerprint", F.col("t").cast("int").alias("t"), F.pmod(F.xxhash64("t", F.col("fingerprint").bitwiseAND(F.col("m"))), F.lit(buckets)).cast("int").alias("bucket"))
     links = placed.groupBy("bucket").applyInArrow(_collide(radius), "a long, b long")
-    found = connected_components(links)
-    linked = nodes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", F.coalesce("component", "fingerprint").alias("component"), "least")
-    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "component").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    found = connected_components(links).withColumnRenamed("node", "fingerprint")
+    # each sum is written before it is joined, so that a component with many fingerprints can be dealt to several tasks
+    least = checkpoint(found.join(nodes, "fingerprint").groupBy("component").agg(F.min("least").alias("component_id")))
+    named = checkpoint(found.join(least, "component").select("fingerprint", F.col("component_id").alias("__gl_least")))
+    every = nodes.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("__gl_least", "least").alias("component_id"))
+    return prints.join(every, "fingerprint").select(key, "fingerprint", "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
