@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import table
+from graphloom.functions.checkpoints import checkpoint
+from graphloom.llm.common import partitions, table
 
 TRAINED = "assistant"
-#: Conversations of a block, a run of keys that is ranked by itself; a common first turn has many blocks.
-BLOCK = 64
 
 
 def _render(turns: Column) -> Column:
@@ -36,6 +35,7 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
     ``chosen`` and ``rejected`` are arrays of (role, text). The longest common prefix is rendered once, as the prompt;
     the masks mark what a model is trained on, the texts of the trained role with their end marks. If one side is null
     there is no pair: nothing is common, and the null side's text and mask are null. Equal sides leave empty completions.
+    Columns named as an output are replaced, others kept; each row is judged alone.
     """
     c, r = F.col(chosen), F.col(rejected)
     shorter = F.least(F.size(c), F.size(r))
@@ -55,17 +55,26 @@ def preference_pairs(turns: DataFrame, key: str = "conv_id", turn: str = "turn",
 
     Conversations with the same first turn are ranked by key; the even ranks are chosen over the odd rank that follows.
     The last one of an odd group has no partner and a null rejected side. Turns go by number, then role and text; a null
-    role is ``unknown`` and null text empty. Rows without a key belong to no conversation and are left out.
+    role is ``unknown`` and null text empty. Turns that repeat a number, or are rows twice, are turns of their own. Rows
+    without a key belong to no conversation and are left out; keys are whole numbers, and one that cannot be cast to a long
+    raises an error. Columns other than the four named are left out; an empty table gives an empty result.
+
+    Ranks come from a sort of the keys alone, cut into ranges wherever they lie within a first turn, so a first turn that
+    most conversations share is ranked by many tasks.
     """
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(role, F.lit("unknown")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     talks = turns.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("conv")).agg(F.array_sort(F.collect_list(one)).alias("all"))
     talks = talks.select("conv", F.transform("all", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
-    talks = talks.withColumn("first", F.sha2(F.concat_ws("\n", F.get("turns", F.lit(0))["role"], F.get("turns", F.lit(0))["text"]), 256)).withColumn("block", F.floor(F.col("conv") / BLOCK))
-    sizes = talks.groupBy("first", "block").count()
-    before = sizes.select("first", "block", F.coalesce(F.sum("count").over(Window.partitionBy("first").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = talks.withColumn("own", F.row_number().over(Window.partitionBy("first", "block").orderBy("conv")) - 1).join(before, ["first", "block"])
+    keys = turns.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("conv")).agg(F.min(one).alias("opening"))
+    named = F.concat(F.octet_length("opening.role").cast("string"), F.lit(":"), "opening.role", "opening.text")  # told apart wherever the role ends
+    keys = keys.select("conv", F.sha2(named, 256).alias("first"))
+    ranges = checkpoint(keys.repartitionByRange(2 * partitions(turns.sparkSession), "first", "conv").withColumn("range", F.spark_partition_id()))
+    sizes = ranges.groupBy("first", "range").count()
+    before = sizes.select("first", "range", F.coalesce(F.sum("count").over(Window.partitionBy("first").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    ranked = ranges.withColumn("own", F.row_number().over(Window.partitionBy("first", "range").orderBy("conv")) - 1).join(before, ["first", "range"])
     rank = (F.col("own") + F.col("before")).cast("long")
-    sides = ranked.select("first", F.floor(rank / 2).alias("pair"), (rank % 2 == 0).alias("even"), F.struct("conv", "turns").alias("talk"))
+    places = ranked.select("conv", "first", F.floor(rank / 2).alias("pair"), (rank % 2 == 0).alias("even"))
+    sides = talks.join(places, "conv").select("first", "pair", "even", F.struct("conv", "turns").alias("talk"))
     pairs = sides.groupBy("first", "pair").agg(F.max(F.when(F.col("even"), F.col("talk"))).alias("c"), F.max(F.when(~F.col("even"), F.col("talk"))).alias("r"))
     return pairs.select(F.col("c.conv").alias("pair_id"), F.col("c.conv").alias("chosen_id"), F.col("r.conv").alias("rejected_id"), F.col("c.turns").alias("chosen"), F.col("r.turns").alias("rejected"))
 
