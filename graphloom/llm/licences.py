@@ -247,6 +247,17 @@ def _ngrams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(places, lambda k: F.array_join(F.slice(words, k, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with columns that are computed once a row, however often later steps read them: no filter or projection
+    is pushed through a generator, here of one element, so none repeats what it makes."""
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return rows.select("*", F.explode(F.array(made)).alias("__gl_once")).select(*[F.col(c) for c in rows.columns], *[F.col("__gl_once")[n].alias(n) for n in columns])
+
+
 def scan(docs: DataFrame, threshold: float = THRESHOLD, confirm: float = CONFIRM, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per paragraph that more probably has a licence than none: ``key``, ``paragraph`` (number from 0), ``family``
     (``unknown`` below the threshold), ``probability`` (of the family, or of the likeliest one), ``coverage`` (largest share
@@ -257,25 +268,28 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, confirm: float = CONFIRM
     an empty result. Nothing is shuffled.
     """
     classes, anchors, weights, bias, _ = fit()
-    model = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for g in weights for x in (g, weights[g])])
-    pairs, families = template_pairs(), [c for c in classes if c not in (NONE, UNKNOWN)]
-    rows = paragraphs(docs.select(key, text), key, text, anchors)
+    strings = lambda own: f"array({', '.join(map(_quoted, own))})"
+    numbers = lambda own: f"array({', '.join(f'{v!r}D' for v in own)})"
+    model = F.expr(f"map({', '.join(f'{_quoted(g)}, {numbers(w)}' for g, w in weights.items())})")
+    templates = F.expr(f"map({', '.join(f'{_quoted(name)}, array({chr(44).join(map(strings, own))})' for name, own in template_pairs().items())})")
+    families = [c for c in classes if c not in (NONE, UNKNOWN)]
+    rows = paragraphs(docs.select(F.col(key).alias(key), F.col(text).alias("__gl_text")), key, "__gl_text", anchors)
     own = F.regexp_extract_all("body", F.lit(f"({WORD})"), F.lit(1))
     own = F.transform(own, lambda w: F.when(w.rlike("^[.:;!?]"), END).otherwise(w))
-    rows = rows.withColumn("words", F.concat(F.array(F.lit(END)), own, F.array(F.lit(END))))
-    rows = rows.withColumn("pairs", F.array_distinct(_ngrams(F.col("words"), 2)))
-    features = F.array_intersect(F.concat(F.col("words"), F.col("pairs"), _ngrams(F.col("words"), 3)), F.array(*map(F.lit, weights)))
-    logits = F.aggregate(F.transform(features, lambda g: F.element_at(model, g)), F.array(*map(F.lit, bias)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
-    rows = rows.withColumn("logits", logits)
-    top = F.array_max("logits")
-    odds = F.transform("logits", lambda z: F.exp(z - top))
-    rows = rows.withColumn("p", F.transform(odds, lambda o: o / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x))).where(F.get("p", F.lit(0)) < 0.5)
-    named = F.array(*[F.get("p", F.lit(classes.index(c))) for c in families])
-    rows = rows.withColumn("best", F.array_max(named)).withColumn("named", F.element_at(F.array(*map(F.lit, families)), F.array_position(named, F.col("best")).cast("int")))
-    share = lambda own: F.size(F.array_intersect("pairs", F.array(*map(F.lit, own)))) / float(len(own))
-    coverage = functools.reduce(lambda a, name: a.when(F.col("named") == name, F.greatest(*map(share, pairs[name]), F.lit(0.0))), sorted(pairs), F.when(F.lit(False), 0.0))
-    rows = rows.withColumn("family", F.when(F.col("best") >= threshold, F.col("named")).otherwise(UNKNOWN)).withColumn("coverage", coverage)
-    return rows.select(key, "paragraph", "family", F.col("best").alias("probability"), "coverage", ((F.col("family") != UNKNOWN) & (F.col("coverage") >= confirm)).alias("confirmed"))
+    rows = _once(rows.select(key, "paragraph", "body"), words=F.concat(F.array(F.lit(END)), own, F.array(F.lit(END)))).drop("body")
+    rows = _once(rows, pairs=F.array_distinct(_ngrams(F.col("words"), 2)))
+    features = F.array_intersect(F.concat(F.col("words"), F.col("pairs"), _ngrams(F.col("words"), 3)), F.expr(strings(weights)))
+    logits = F.aggregate(F.transform(features, lambda g: F.element_at(model, g)), F.expr(numbers(bias)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    rows = _once(rows.select(key, "paragraph", "pairs", "words"), logits=logits)
+    rows = _once(rows.drop("words"), top=F.array_max("logits"))
+    rows = _once(rows, odds=F.transform("logits", lambda z: F.exp(z - F.col("top"))))
+    rows = _once(rows.drop("logits", "top"), total=F.aggregate("odds", F.lit(0.0), lambda a, x: a + x)).where(F.get("odds", F.lit(0)) < F.col("total") * 0.5)
+    rows = _once(rows, named=F.array(*[F.get("odds", F.lit(classes.index(c))) for c in families]))
+    best = F.array_position("named", F.array_max("named")).cast("int")
+    rows = _once(rows.drop("odds"), probability=F.array_max("named") / F.col("total"), name=F.element_at(F.expr(strings(families)), best))
+    share = F.transform(F.element_at(templates, F.col("name")), lambda own: F.size(F.array_intersect("pairs", own)) / F.size(own))
+    rows = _once(rows, coverage=F.array_max(share), family=F.when(F.col("probability") >= threshold, F.col("name")).otherwise(UNKNOWN))
+    return rows.select(key, "paragraph", "family", "probability", "coverage", ((F.col("family") != UNKNOWN) & (F.col("coverage") >= confirm)).alias("confirmed"))
 
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

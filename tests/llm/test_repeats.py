@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from graphloom.llm import packed  # noqa: E402
+from graphloom.llm import difference_cover, packed  # noqa: E402
 from graphloom.llm.packed import remove_repeats  # noqa: E402
 from graphloom.llm.substring_dedup import rank_words, substring_dedup, window_names  # noqa: E402
 from graphloom.llm.suffix_dedup import rank_bytes, suffix_array, suffix_dedup  # noqa: E402
@@ -126,3 +126,25 @@ def test_window_names():
     for k in range(len(names)):
         assert groups.setdefault(tuple(s[k : k + 13].tolist()), names[k]) == names[k]
     assert len(set(names.tolist())) == len(groups)
+
+
+def ranked(spark, s):
+    rows = spark.createDataFrame(list(enumerate(s)), "i long, c long")
+    return [r.i for r in difference_cover.suffix_ranks(rows, len(s)).orderBy("rank").collect()]
+
+
+def test_distributed_difference_cover(spark, monkeypatch):
+    """Suffix ranks of short strings with repeats, of all lengths modulo three, over many blocks."""
+    monkeypatch.setattr(difference_cover, "BLOCK", 7)
+    for s in ([1, 2, 1, 1, 2, 1, 1, 2, 2, 1], [2, 2, 2, 2, 2, 2, 2], [3, 1, 2]):
+        for k in (0, 1, 2):
+            own = s + [2] * k
+            assert ranked(spark, own) == sorted(range(len(own)), key=lambda i: own[i:])
+
+
+def test_repeats_by_adjacent_suffixes(spark):
+    data = [(3, "the cat sat on the mat"), (1, "on the mat sat the cat"), (2, None), (5, "the cat sat on the mat"), (7, "é the cat é")]
+    got = {(r.doc_id, r.at) for r in difference_cover.repeated_windows(spark.createDataFrame(data, "doc_id long, text string"), 8).collect()}
+    own = {d: (t or "").encode() for d, t in data}
+    starts = {d: {t[i : i + 8] for i in range(len(t) - 7)} for d, t in own.items()}
+    assert got == {(d, i) for d, t in own.items() for i in range(len(t) - 7) if any(e < d and t[i : i + 8] in starts[e] for e in own)}
