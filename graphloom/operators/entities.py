@@ -130,6 +130,11 @@ def similar_name_links(entities: DataFrame, threshold: float = 0.88) -> DataFram
     return pair.groupBy("left", "right").agg(F.round(F.max("score"), 4).alias("score")).withColumn("reason", F.lit("name_similarity"))
 
 
+def pick_embedding(*vectors: str) -> Column:
+    """The first of the columns that holds a vector with a component."""
+    return F.coalesce(*[F.when(F.size(v) > 0, F.col(v)) for v in vectors])
+
+
 def _forest(near) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the graph with this matrix."""
     import numpy as np

@@ -59,6 +59,19 @@ def triples(relationships: DataFrame) -> DataFrame:
     return first_per(t, ["source_id", "s", "predicate", "o"], [F.col("confidence").desc(), "pos"]).select("source_id", F.col("source").alias("subject"), "predicate", F.col("target").alias("object"), "confidence")
 
 
+def first_records(records: DataFrame, limit: int, *order: str) -> DataFrame:
+    """The first records in the order of columns; all of them if the limit is 0. The limit is the feature here."""
+    return records.orderBy(*order).limit(limit) if limit > 0 else records
+
+
+def summary(parsed: DataFrame, entities: DataFrame, relationships: DataFrame, merged: DataFrame) -> DataFrame:
+    """One row of counters: records, failed ones, entities, relationships, triples."""
+    both = parsed.agg(F.count("*").alias("n_records"), F.count("error").alias("n_failed"))
+    for name, rows in (("n_entities", entities), ("n_relationships", relationships), ("n_triples", merged)):
+        both = both.join(rows.agg(F.count("*").alias(name)), how="cross")  # rows of one each
+    return both
+
+
 def embedding_text(kind: Column, name: Column, description: Column, summary: Column) -> Column:
     """``type: name`` and what there is of a description, cut at the longest text that a model takes."""
     more = F.coalesce(F.nullif(description, F.lit("")), F.nullif(summary, F.lit("")))

@@ -337,3 +337,15 @@ def document_sections(found: DataFrame) -> DataFrame:
 def title(rows: DataFrame) -> DataFrame:
     """The text of the first line that begins with one # and a space."""
     return rows.where(F.col("text").startswith("# ")).groupBy("doc_id").agg(F.min_by(strip(F.substr("text", F.lit(3))), "line").alias("title"))
+
+
+def summary(rows: DataFrame) -> DataFrame:
+    """Counters of each document: sections, tables, lists, paragraphs, code blocks and references.
+
+    ``rows`` (lines) are read once for each kind, so they are best written before."""
+    kinds = {"sections": headings(rows), "tables": tables(rows), "lists": lists(rows), "paragraphs": paragraphs(rows), "code_blocks": code_blocks(rows), "references": references(rows)}
+    every = None
+    for name, found in kinds.items():
+        part = found.select("doc_id", F.lit(name).alias("kind"))
+        every = part if every is None else every.union(part)
+    return every.groupBy("doc_id").agg(*[F.count_if(F.col("kind") == name).alias(name) for name in kinds])

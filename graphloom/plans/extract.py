@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.functions import names, tables, versions
-from graphloom.operators import cleaning, extraction, markdown, resources
+from graphloom.functions.checkpoints import checkpoint
+from graphloom.operators import cleaning, entities, extraction, markdown, resources
 from graphloom.plans.base import duck, duck_map, quoted, rows, table
 
 VERSIONS = """SELECT o_orderkey AS k, CASE o_orderkey % 9 WHEN 0 THEN 'see PSD2 v1.3.' || CAST(o_orderkey % 50 AS STRING) || ' now' WHEN 1 THEN 'the Berlin  Group V2' WHEN 2 THEN 'NextGenPSD2 1.3' WHEN 3 THEN 'OpenAPI: 3.0.1 and V9'
@@ -61,6 +62,15 @@ def relations(spark, d):
     return extraction.answer_relationships(parsed(spark, d), found(spark, d))
 
 
+VECTORS = "SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN embedding END AS embedding, CASE WHEN vec_id % 2 = 0 THEN embedding END AS embeddings, embedding AS vector FROM @embeddings"
+
+
+def summary(spark, d):
+    answers, known = parsed(spark, d), checkpoint(found(spark, d))
+    related = checkpoint(extraction.answer_relationships(answers, known))
+    return extraction.summary(answers, known, related, extraction.triples(related))
+
+
 def version_columns(spark, d):
     content = versions.content_version(F.col("text"))
     v = versions.version_with_source(F.col("given"), [F.col("path")], content)
@@ -99,6 +109,9 @@ QUERIES = {
     "ex_llm_entities": found,
     "ex_rel_resolve": relations,
     "ex_triples_dedup": lambda spark, d: extraction.triples(relations(spark, d)),
+    "ex_summary": summary,
+    "ex_first_records": lambda spark, d: extraction.first_records(table(spark, d, "pages").select("page_id", "url"), 20, "url", "page_id"),
+    "dedup_embedding_pick": lambda spark, d: rows(spark, d, VECTORS).select("vec_id", entities.pick_embedding("embedding", "embeddings", "vector").alias("v")).select("vec_id", F.size("v").alias("n"), F.round(F.get("v", F.lit(0)).cast("double"), 6).alias("first")),
     "ex_embed_text": lambda spark, d: table(spark, d, "part").select("p_partkey", extraction.embedding_text(F.col("p_type"), F.col("p_name"), F.lit(""), F.col("p_brand")).alias("text"), extraction.input_type(F.when(F.col("p_size") % 2 == 0, F.lit("Method")).otherwise(F.col("p_type"))).alias("input_type")),
     "ex_embed_batches": lambda spark, d: extraction.embed(table(spark, d, "part").select("p_partkey", F.col("p_name").alias("text"))).select("p_partkey", F.size("vector").alias("dimension"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")),
     "ex_final_errors": lambda spark, d: rows(spark, d, "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'Input TOO LONG' WHEN event_id % 3 = 1 THEN 'HTTP 400 ' || event_type ELSE 'timeout' END AS message FROM @events").select("event_id", extraction.is_final_error(F.col("message")).alias("final")),
@@ -175,6 +188,9 @@ ORACLES = {
     "ex_llm_entities": D_ENTITIES,
     "ex_rel_resolve": D_RELATIONS,
     "ex_triples_dedup": D_TRIPLES,
+    "ex_summary": f"SELECT (SELECT count(*) FROM ({D_PARSED})) AS n_records, (SELECT count(error) FROM ({D_PARSED})) AS n_failed, (SELECT count(*) FROM ({D_ENTITIES})) AS n_entities, (SELECT count(*) FROM ({D_RELATIONS})) AS n_relationships, (SELECT count(*) FROM ({D_TRIPLES})) AS n_triples",
+    "ex_first_records": "SELECT page_id, url FROM pages ORDER BY url, page_id LIMIT 20",
+    "dedup_embedding_pick": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, round(CAST(embedding[1] AS DOUBLE), 6) AS first FROM embeddings",
     "ex_embed_text": "SELECT p_partkey, p_type || ': ' || p_name || ' ' || p_brand AS text, CASE WHEN p_size % 2 = 0 THEN 'JAVA_METHOD' ELSE 'ENTITY' END AS input_type FROM part",
     "ex_embed_batches": "SELECT p_partkey, 64 AS dimension, 1.0::DOUBLE AS norm FROM part",
     "ex_final_errors": "SELECT event_id, event_id % 3 < 2 AS final FROM events",

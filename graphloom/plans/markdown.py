@@ -68,6 +68,11 @@ def containers(spark, d):
     return md.first_container(md.references(ls).where("kind <> 'image'"), md.sections(ls)).select("doc_id", "line", "kind", "nth", "container")
 
 
+def paragraph_containers(spark, d):
+    ls = checkpoint(line_rows(spark, d))
+    return md.first_container(md.references(ls), md.paragraphs(ls)).select("doc_id", "line", "kind", "nth", "container")
+
+
 def content(spark, d):
     ls = checkpoint(line_rows(spark, d))  # cut once, for all kinds of blocks
     blocks = [("heading", md.headings(ls).select("doc_id", F.col("line").alias("start"))), ("table", md.tables(ls)), ("list", md.lists(ls)), ("paragraph", md.paragraphs(ls)), ("code", md.code_blocks(ls))]
@@ -203,6 +208,8 @@ QUERIES = {
     "md_footnotes": lambda spark, d: md.footnotes(line_rows(spark, d)),
     "md_references": lambda spark, d: md.references(line_rows(spark, d)).drop("order"),
     "md_ref_first_container": containers,
+    "md_ref_paragraph_container": paragraph_containers,
+    "md_summary": lambda spark, d: md.summary(checkpoint(line_rows(spark, d))),
     "md_anchor_links": lambda spark, d: md.anchor_links(md.references(line_rows(spark, d)), md.sections(line_rows(spark, d))).select("doc_id", "line", "nth", "slug", "section"),
     "md_next_heading": nexts(lambda ls: md.headings(ls).withColumnRenamed("line", "start")),
     "md_next_table": nexts(md.tables),
@@ -240,6 +247,8 @@ ORACLES = {
     "md_autolinks": D_AUTOLINKS,
     "md_footnotes": D_FOOTNOTES,
     "md_references": D_REFS,
+    "md_ref_paragraph_container": f"""SELECT r.doc_id, r.line, kind, nth, min(p.start) AS container FROM ({D_REFS}) r JOIN ({D_PARAGRAPHS}) p ON p.doc_id = r.doc_id AND r.line BETWEEN p.start AND p."end" GROUP BY ALL""",
+    "md_summary": "SELECT doc_id, " + ", ".join(f"count(*) FILTER (kind = '{k}') AS {k}" for k in ("sections", "tables", "lists", "paragraphs", "code_blocks", "references")) + " FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind FROM ({sql})" for k, sql in (("sections", D_HEADS), ("tables", D_TABLES), ("lists", D_LISTS), ("paragraphs", D_PARAGRAPHS), ("code_blocks", D_CODE), ("references", D_REFS))) + ") GROUP BY doc_id",
     "md_ref_first_container": f"""SELECT r.doc_id, r.line, kind, nth, min(s.start) AS container FROM ({D_REFS}) r JOIN ({D_SECTIONS}) s ON s.doc_id = r.doc_id AND r.line BETWEEN s.start AND s."end" WHERE kind <> 'image' GROUP BY ALL""",
     "md_anchor_links": f"SELECT r.doc_id, line, nth, slug, start AS section FROM ({D_REFS}) r JOIN ({D_SECTIONS}) s ON s.doc_id = r.doc_id AND r.url = '#' || slug WHERE {d_anchor('url')}",
     "md_next_heading": d_next(f"SELECT doc_id, line AS start FROM ({D_HEADS})"),
