@@ -173,10 +173,19 @@ def d_links(keys: str, score: str, reason: str) -> str:
 
 
 D_LINKS = f"{d_links(D_KEYS, '1.0::DOUBLE', 'exact_alias')} UNION ALL {d_links(D_DOMAIN_KEYS, '0.96::DOUBLE', 'domain_mapping')}"
-D_COMPONENTS = f"""
-WITH RECURSIVE link AS (SELECT "left" AS a, "right" AS b FROM ({D_LINKS})), side AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+_REACHED = """
+WITH RECURSIVE link AS (SELECT "left" AS a, "right" AS b FROM (LINKS)), side AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach(node, seen) AS (SELECT DISTINCT a, a FROM side UNION SELECT reach.node, side.b FROM reach JOIN side ON side.a = reach.seen)
 SELECT node, min(seen) AS component FROM reach GROUP BY node"""
+D_COMPONENTS = _REACHED.replace("LINKS", D_LINKS)
+#: Vectors with one component more, and others that differ from them in it.
+TURNED = "SELECT vec_id * 2 AS id, array_append(embedding, CAST(0 AS FLOAT)) AS embedding FROM @embeddings UNION ALL SELECT vec_id * 2 + 1, array_append(embedding, CAST(0.3 * (vec_id % 30) AS FLOAT)) FROM @embeddings"
+D_NEAR = f'SELECT a.id AS "left", b.id AS "right" FROM ({duck(TURNED)}) a JOIN ({duck(TURNED)}) b ON a.id < b.id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.92'
+
+
+def near_vectors(spark, d):
+    """Components by the embedding rule: a spanning forest of the links has the same ones."""
+    return components.connected_components(entities.cosine_links(rows(spark, d, TURNED)), "left", "right")
 
 
 def links(spark, d):
@@ -215,6 +224,7 @@ QUERIES = {
     "dedup_domain": lambda spark, d: entities.domain_links(rows(spark, d, TWINS)),
     "dedup_name_similarity": similar,
     "dedup_cosine": vector_pairs,
+    "dedup_embedding_links": near_vectors,
     "dedup_components": lambda spark, d: components.connected_components(links(spark, d), "left", "right"),
     "dedup_merge": lambda spark, d: dedup(spark, d).select("id", "type", joined("aliases").alias("aliases"), "n_sources", "confidence", joined("members").alias("members")),
     "rel_key_normalise": lambda spark, d: rows(spark, d, RAW).select("pos", names.relation_key(F.col("relation")).alias("result")),
@@ -251,6 +261,7 @@ ORACLES = {
     "dedup_domain": d_links(D_DOMAIN_KEYS, "0.96::DOUBLE", "domain_mapping"),
     "dedup_cosine": "SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "dedup_components": D_COMPONENTS,
+    "dedup_embedding_links": _REACHED.replace("LINKS", D_NEAR),
     "dedup_merge": f"""
 SELECT w.id AS id, w.type AS type, array_to_string({D_ORDERED_DISTINCT.format(l='every')}, '|') AS aliases, CAST(n_sources AS BIGINT) AS n_sources, confidence, array_to_string(members, '|') AS members FROM (
   SELECT arg_max(struct_pack(id := id, type := type), struct_pack(a := confidence, b := n_sources, c := id)) AS w, flatten(list(list_prepend(id, aliases) ORDER BY id)) AS every, sum(n_sources) AS n_sources, {D_MEAN.format(c='confidence')} AS confidence, list(id ORDER BY id) AS members
