@@ -71,7 +71,9 @@ def _current(spark: SparkSession, path: str) -> str | None:
     fs = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
     if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
         return None
-    return spark.read.schema("version string").json(f"{path}/versions").agg(F.max("version")).first()[0]
+    parts = F.regexp_extract_all("version", F.lit(r"(\d+|\D+)"), F.lit(1))
+    natural = F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 20, "0")).otherwise(p))  # v10 comes after v9
+    return spark.read.schema("version string").json(f"{path}/versions").agg(F.max_by("version", natural)).first()[0]
 
 
 def write_changed(rows: DataFrame, old: DataFrame, key: str, write: Callable[[DataFrame], None]) -> None:
