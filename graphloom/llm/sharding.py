@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from graphloom.llm.common import U64, mix64, table
 
 SHARDS, ROUNDS, SEED = 16, 6, 20240229
-#: Fixed number of bins that rows are numbered in; their counts are all that the driver gets.
-BINS = 4096
+#: Least number of bins that rows are numbered in, and rows for which there is one; the driver gets their counts only.
+BINS, BIN_ROWS = 4096, 250_000
 OUTPUTS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
@@ -52,14 +52,15 @@ def place(rows: np.ndarray, n: int, shards: int, seed: int = SEED) -> tuple[np.n
 def numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
     """``docs`` with ``__gl_row``, a gapless number from 0 that depends on the rows only, and their count.
 
-    Rows fall into a fixed number of bins by a hash of key and text; a row's number is what the bins before hold plus
-    its rank by key, checksum and size inside its bin. Equal rows may change places, which nobody can tell.
+    Rows fall into bins, as many as their count demands, by a hash of key and text; a row's number is what the bins before
+    hold plus its rank by key, checksum and size inside its bin. Equal rows may change places, which nobody can tell.
     """
     spark = docs.sparkSession
-    where = F.pmod(F.xxhash64(key, text), F.lit(BINS)).cast("int")
+    bins = max(BINS, docs.count() // BIN_ROWS)
+    where = F.pmod(F.xxhash64(key, text), F.lit(bins)).cast("int")
     counts = dict(docs.select(where.alias("b")).groupBy("b").count().collect())
     before, total = [], 0
-    for b in range(BINS):
+    for b in range(bins):
         before.append((b, total))
         total += counts.get(b, 0)
     offsets = spark.createDataFrame(before, "__gl_bin int, __gl_before long")
