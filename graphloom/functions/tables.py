@@ -7,6 +7,7 @@ ABBREVIATIONS = {
 }
 # Role suffixes of Java class names, in the order in which they are tried.
 JAVA_SUFFIXES = ("ServiceImpl", "RepositoryImpl", "RestController", "Controller", "Service", "Repository", "Impl", "Facade", "Adapter", "Factory", "Handler", "Provider", "Manager")
+# Names of parsers, and of HTTP methods.
 JAVA_PARSERS = ("java_parser", "java", "spring_parser")
 OPENAPI_PARSERS = ("openapi_parser", "openapi", "yaml_parser")
 HTTP_METHODS = ("GET", "POST", "PUT", "PATCH", "DELETE", "HEAD", "OPTIONS")
@@ -61,12 +62,24 @@ PATH_VERSIONS = (
     (r"[-/](\d+)\.(\d+)(?:\.(\d+))?(?:\b|[-/_]|$)", 3),
     (r"\b(\d+)_(\d+)\b", 2),
 )
+# How addresses of other places begin, and how Markdown files end.
 EXTERNAL_SCHEMES = ("http://", "https://", "ftp://", "ftps://", "mailto:", "tel:", "ssh://", "git://")
 MARKDOWN_SUFFIXES = (".md", ".markdown", ".mdown", ".mkd")
 # Endings that say nothing about a file, in the order in which they are taken off.
 FILE_SUFFIXES = ("_clean", "_final", "_draft", "_v1", "_v2", "_v3")
+# Acronyms in file names, categories by words in them, publishers, and lines of a text that are looked at.
 FILE_ACRONYMS = ("api", "psd2", "ais", "pis", "xs2a", "http", "json", "xml")
 FILE_CATEGORIES = (("implementation", "Implementation Guidelines"), ("guidelines", "Implementation Guidelines"), ("operational", "Operational Rules"), ("rules", "Operational Rules"), ("spec", "API Specification"), ("reference", "Reference Manual"), ("manual", "Reference Manual"))
 ORGANISATIONS = ("Berlin Group", "NextGenPSD2", "STET", "Open Banking", "European Banking Authority", "EBA")
 TITLE_LINES, VERSION_LINES, HEAD_LINES = 50, 20, 30
+# What embedders call the types of entities.
 INPUT_TYPES = {"class": "JAVA_CLASS", "method": "JAVA_METHOD", "endpoint": "API_ENDPOINT", "schema": "OPENAPI_SCHEMA", "section": "MARKDOWN_SECTION"}
+# Versions, titles, publishers and dates in file names, heads of texts, link titles and paths, in the order in
+# which they are tried.
+FILE_VERSIONS = (r"(?i)_v?(\d+[._]\d+(?:[._]\d+)?)", r"(?i)v(\d+[._]\d+(?:[._]\d+)?)")
+FILE_VERSION_PART = r"(?i)_v?\d+[._]\d+[._]?\d*"
+HEAD_TITLE, TITLE_LINK = r"(?m)^[ \t]*# +(\S.*?)[ \t]*$", r"\[([^\]]+)\]\([^\)]+\)"
+HEAD_VERSIONS = (r"[Vv]ersion[:\s]+(\d+\.\d+(?:\.\d+)?)", r"[Vv]\.?\s*(\d+\.\d+(?:\.\d+)?)", r"Release\s+(\d+\.\d+(?:\.\d+)?)")
+HEAD_AUTHOR = r"[Bb]y\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)"
+HEAD_DATES = (r"[Pp]ublished[:\s]+(\d{4}-\d{2}-\d{2})", r"[Pp]ublication [Dd]ate[:\s]+(\d{4}-\d{2}-\d{2})", r"[Dd]ate[:\s]+(\d{4}-\d{2}-\d{2})", r"(\d{2}/\d{2}/\d{4})", r"(\d{4}/\d{2}/\d{2})")
+LINK_VERSION, TRAILING_VERSION, PART_VERSION = r"(?i)V(\d+\.\d+(?:\.\d+)*)", r"(\d+\.\d+(?:\.\d+)*)\s*$", r"(?U)\b(\d+\.\d+(?:\.\d+)*)\b"

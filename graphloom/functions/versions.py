@@ -42,13 +42,13 @@ def file_stem(stem: Column) -> Column:
 
 
 def file_version(stem: Column) -> Column:
-    found = F.coalesce(*[F.nullif(F.regexp_extract(stem, p, 1), F.lit("")) for p in (r"(?i)_v?(\d+[._]\d+(?:[._]\d+)?)", r"(?i)v(\d+[._]\d+(?:[._]\d+)?)")])
+    found = F.coalesce(*[F.nullif(F.regexp_extract(stem, p, 1), F.lit("")) for p in tables.FILE_VERSIONS])
     return F.translate(found, "_", ".")
 
 
 def specification_name(stem: Column) -> Column:
     """Words of a file's name with capitals, acronyms all in capitals."""
-    bare = F.when(file_version(stem).isNull(), stem).otherwise(F.regexp_replace(stem, r"(?i)_v?\d+[._]\d+[._]?\d*", ""))
+    bare = F.when(file_version(stem).isNull(), stem).otherwise(F.regexp_replace(stem, tables.FILE_VERSION_PART, ""))
     words = F.filter(F.split(F.translate(bare, "_", " "), r"\s+"), lambda w: w != "")
     return F.nullif(F.array_join(F.transform(words, lambda w: F.when(F.lower(w).isin(*tables.FILE_ACRONYMS), F.upper(w)).otherwise(F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.lower(F.substr(w, F.lit(2)))))), " "), F.lit(""))
 
@@ -63,26 +63,24 @@ def _head(text: Column, lines: int) -> Column:
 
 def content_title(text: Column) -> Column:
     """The first level-1 heading of the head, without link targets."""
-    found = F.regexp_extract(_head(text, tables.TITLE_LINES), r"(?m)^[ \t]*# +(\S.*?)[ \t]*$", 1)
-    return F.nullif(F.regexp_replace(found, r"\[([^\]]+)\]\([^\)]+\)", "$1"), F.lit(""))
+    found = F.regexp_extract(_head(text, tables.TITLE_LINES), tables.HEAD_TITLE, 1)
+    return F.nullif(F.regexp_replace(found, tables.TITLE_LINK, "$1"), F.lit(""))
 
 
 def content_spec_version(text: Column) -> Column:
     head = _head(text, tables.VERSION_LINES)
-    patterns = (r"[Vv]ersion[:\s]+(\d+\.\d+(?:\.\d+)?)", r"[Vv]\.?\s*(\d+\.\d+(?:\.\d+)?)", r"Release\s+(\d+\.\d+(?:\.\d+)?)")
-    return F.coalesce(*[F.nullif(F.regexp_extract(head, p, 1), F.lit("")) for p in patterns])
+    return F.coalesce(*[F.nullif(F.regexp_extract(head, p, 1), F.lit("")) for p in tables.HEAD_VERSIONS])
 
 
 def content_organisation(text: Column) -> Column:
     head = _head(text, tables.HEAD_LINES)
-    by = F.nullif(F.regexp_extract(head, r"[Bb]y\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)", 1), F.lit(""))
+    by = F.nullif(F.regexp_extract(head, tables.HEAD_AUTHOR, 1), F.lit(""))
     return F.coalesce(*[F.when(head.contains(o), o) for o in tables.ORGANISATIONS], by)
 
 
 def content_date(text: Column) -> Column:
     head = _head(text, tables.HEAD_LINES)
-    patterns = (r"[Pp]ublished[:\s]+(\d{4}-\d{2}-\d{2})", r"[Pp]ublication [Dd]ate[:\s]+(\d{4}-\d{2}-\d{2})", r"[Dd]ate[:\s]+(\d{4}-\d{2}-\d{2})", r"(\d{2}/\d{2}/\d{4})", r"(\d{4}/\d{2}/\d{2})")
-    return F.coalesce(*[F.nullif(F.regexp_extract(head, p, 1), F.lit("")) for p in patterns])
+    return F.coalesce(*[F.nullif(F.regexp_extract(head, p, 1), F.lit("")) for p in tables.HEAD_DATES])
 
 
 def specification_metadata(frontmatter: Column, stem: Column, text: Column) -> dict[str, Column]:
@@ -99,11 +97,11 @@ def specification_metadata(frontmatter: Column, stem: Column, text: Column) -> d
 
 
 def link_version(title: Column, trailing: bool = False) -> Column:
-    pattern = r"(\d+\.\d+(?:\.\d+)*)\s*$" if trailing else r"(?i)V(\d+\.\d+(?:\.\d+)*)"
+    pattern = tables.TRAILING_VERSION if trailing else tables.LINK_VERSION
     return F.coalesce(F.nullif(F.regexp_extract(title, pattern, 1), F.lit("")), F.lit("unknown"))
 
 
 def path_parts_version(path: Column) -> Column:
     """A version in the deepest part of a path that has one, else empty."""
-    parts = F.transform(F.reverse(F.split(path, "/")), lambda p: F.regexp_extract(p, r"(?U)\b(\d+\.\d+(?:\.\d+)*)\b", 1))
+    parts = F.transform(F.reverse(F.split(path, "/")), lambda p: F.regexp_extract(p, tables.PART_VERSION, 1))
     return F.coalesce(F.get(F.filter(parts, lambda v: v != ""), F.lit(0)), F.lit(""))

@@ -13,6 +13,7 @@ from graphloom.functions import listscan, urls
 from graphloom.functions.checkpoints import checkpoint
 from graphloom.functions.names import strip
 
+# Patterns of lines, blocks and references.
 #: What ends a line: all that Unicode counts as a line boundary.
 BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]"
 SEPARATOR = r"^\s*\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?\s*$"
