@@ -64,7 +64,8 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator
         yield pa.Table.from_batches(held)
 
 
-def _hand_back() -> None:
+def hand_back() -> None:
+    """Give the memory that was freed back to the system: workers live longer than tasks, and executors' memory counts all."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -80,12 +81,12 @@ def release(f: Callable) -> Callable:
         try:
             return f(table)
         finally:
-            _hand_back()
+            hand_back()
 
     def two(left, right):
         try:
             return f(left, right)
         finally:
-            _hand_back()
+            hand_back()
 
     return one if f.__code__.co_argcount == 1 else two

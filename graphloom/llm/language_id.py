@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.llm.common import table
+from graphloom.llm.common import hand_back, table
 
 #: Bounds of the fit: texts of a language, and bytes of its dictionary.
 SAMPLE, DICTIONARY = 96, 112 << 10
@@ -39,7 +39,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str =
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
     chosen = labelled.select(key, lang).withColumn("__gl_rank", F.row_number().over(order)).where(F.col("__gl_rank") <= sample)
-    rows = labelled.select(key, lang, text).join(F.broadcast(chosen.select(key, lang).distinct()), [key, lang], "left_semi").collect()
+    last = F.right(F.col(text), F.lit(DICTIONARY)).alias(text)  # all that a dictionary can use of a text
+    rows = labelled.select(key, lang, last).join(F.broadcast(chosen.select(key, lang).distinct()), [key, lang], "left_semi").collect()
     found: dict[str, list] = {}
     for k, name, body in rows:
         found.setdefault(name, []).append((k, body))
@@ -75,6 +76,7 @@ def classify(dictionaries: dict[str, bytes], text: str):
             for name, values, kind in zip(OUTPUTS, (best, score, rejected), (pa.string(), pa.float64(), pa.bool_()), strict=True):
                 batch = batch.append_column(name, pa.array(values, kind))
             yield batch
+        hand_back()
 
     return run
 
@@ -84,7 +86,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     Text that is null or has no letter is ``und`` with score 0 and rejected, and so is all text if nothing was
     learned. Equal sizes go to the language first in alphabetical order, and are rejected. Each row is judged alone, so
-    repeated rows get equal results; columns named as an output are replaced, others kept.
+    repeated rows get equal results; columns named as an output are replaced, others kept. An empty table gives an empty
+    result.
     """
     docs = docs.drop(*OUTPUTS)
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])

@@ -27,7 +27,6 @@ few MB at a time, or the longest text where that is longer.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -38,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.llm.common import U64, bytes_of, chunks, mix64, partitions, release, sliding_min
+from graphloom.llm.common import U64, bytes_of, chunks, hand_back, mix64, partitions, release, sliding_min
 
 #: Units of an m-gram.
 WORD_GRAM, BYTE_GRAM = 4, 16
-#: Bytes of text that are cut at a time.
-CHUNK = 3 << 20
+#: Bytes of text that are cut at a time, and that are counted together.
+CHUNK, COUNTED = 1 << 20, 2 << 20
 #: Bytes of text of a group, and for which there is one bucket.
 GROUP, BUCKET = 4 << 20, 12 << 20
 #: Windows of a super-k-mer, which else can be as long as its text.
@@ -69,13 +68,6 @@ def word_numbers(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)), list(vocabulary)
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers, up to n, of an odd number and of its inverse modulo 2 ** 64."""
-    base = 0x9E3779B97F4A7C15
-    return tuple(np.cumprod(np.concatenate([[U64(1)], np.full(n, U64(x))]), dtype=U64) for x in (base, pow(base, -1, 1 << 64)))
-
-
 def word_units(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Packed text, units a document, first and last byte of each unit, and the hash of each unit.
 
@@ -93,9 +85,14 @@ def word_units(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.nd
     ends = np.cumsum(b - a + 1) - 1
     begins = ends - (b - a)
     packed[ends] = 32
-    power, inverse = _powers(1 << max(16, len(packed).bit_length()))
-    total = np.cumsum(np.concatenate([[U64(0)], (packed.astype(U64) + U64(1)) * power[: len(packed)]]), dtype=U64)
-    return packed.tobytes(), counts, begins, ends, mix64((total[ends] - total[begins]) * inverse[begins])
+    # a polynomial in each word's bytes; the space behind it adds nothing
+    inside = np.arange(len(packed)) - np.repeat(begins, ends + 1 - begins)
+    power = np.cumprod(np.concatenate([[U64(1)], np.full(int(inside.max(initial=0)), U64(0x9E3779B97F4A7C15))]), dtype=U64)
+    terms = power[inside]
+    terms *= packed + U64(1)
+    terms[ends] = 0
+    hashes = mix64(np.add.reduceat(terms, begins)) if len(begins) else np.zeros(0, U64)
+    return packed.tobytes(), counts, begins, ends, hashes
 
 
 def byte_units(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, None]:
@@ -133,7 +130,7 @@ def _sketch(text: str, width: int, units: Callable, bits: int) -> Callable:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, size = np.zeros(1 << bits, np.int64), 0
-        for part in chunks(batches, text, CHUNK):
+        for part in chunks(batches, text, COUNTED):
             texts = [t for t in bytes_of(part.column(text).combine_chunks()) if t]
             size += sum(map(len, texts))
             packed, *_, hashes = units(texts)
@@ -141,6 +138,7 @@ def _sketch(text: str, width: int, units: Callable, bits: int) -> Callable:
             count += np.bincount((hashed >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
         if size:
             blobs = [zstandard.compress(part.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1) for part in np.split(count, SLICES)]
+            hand_back()
             yield pa.RecordBatch.from_arrays([pa.array([*range(SLICES), -1], pa.int32()), pa.array([*blobs, np.array([size], "<i8").tobytes()], pa.binary())], ["slice", _BLOB])
 
     return run

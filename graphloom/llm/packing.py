@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import bytes_of, table
+from graphloom.llm.common import bytes_of, hand_back, table
 
 LENGTH, END = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
@@ -109,6 +109,7 @@ def _pieces(vocabulary: Broadcast, key: str, text: str, length: int, packers: in
                         for values, v in zip(out, (i, start, len(own) // 4, zlib.crc32(own), len(raw) // 4, packer), strict=True):
                             values.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], [key, "start", "length", "ids_crc32", "doc_tokens", "packer"])
+        hand_back()
 
     return run
 
