@@ -69,6 +69,17 @@ def test_rejected_languages_go(spark):
     assert language_id.UNKNOWN == "und"
 
 
+def test_a_corpus_without_labels_stays(spark):
+    rows = [(1, "the of and to in is", None, "s", 1), (2, None, None, None, None), (None, "12", None, "s", 1)]
+    assert sorted(map(str, map(tuple, stage(spark, 0, rows).collect()))) == sorted(map(str, rows))
+
+
+def test_leaks_go_with_any_key(spark):
+    item = spark.read.parquet(f"{DATA}/sf0.001/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, f"before {item} after", "en", "s", 1), (None, "clean", "en", "s", 1), (4, "clean too", "en", "s", 1), (4, item, "en", "s", 1), (5, None, None, None, None)]
+    assert sorted(map(str, map(tuple, stage(spark, 3, rows).collect()))) == sorted(str(r) for r in rows if item not in (r[1] or ""))
+
+
 def test_long_documents_keep_their_language(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select(COLUMNS).collect()]
     more = spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").where("text IS NOT NULL")
@@ -83,3 +94,10 @@ def test_long_documents_keep_their_language(spark):
 def test_run(spark):
     got = corpus_pipeline.run(spark, f"{DATA}/sf0.001")
     assert got.columns[:5] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] and got.count() > 100
+
+
+def test_run_leaves_the_last_input_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda _: str(tmp_path))
+    corpus_pipeline.run(spark, f"{DATA}/sf0.001")
+    (base,) = tmp_path.iterdir()
+    assert [f.name for f in base.iterdir()] == ["3-decontamination"]

@@ -136,10 +136,8 @@ def ranked(spark, s):
 def test_distributed_difference_cover(spark, monkeypatch):
     """Suffix ranks of short strings with repeats, of all lengths modulo three, over many blocks."""
     monkeypatch.setattr(difference_cover, "BLOCK", 7)
-    for s in ([1, 2, 1, 1, 2, 1, 1, 2, 2, 1], [2, 2, 2, 2, 2, 2, 2], [3, 1, 2]):
-        for k in (0, 1, 2):
-            own = s + [2] * k
-            assert ranked(spark, own) == sorted(range(len(own)), key=lambda i: own[i:])
+    for own in ([1, 2, 1, 1, 2, 1, 1, 2, 2, 1], [2, 2, 1, 2, 2, 1, 2, 2], [3, 1, 2, 3, 1, 2, 3, 1, 2]):
+        assert ranked(spark, own) == sorted(range(len(own)), key=lambda i: own[i:])
 
 
 def test_repeats_by_adjacent_suffixes(spark):
