@@ -1,7 +1,7 @@
 """Licence scans: a trained paragraph classifier with classes for no and for unknown licences, confirmed by templates.
 
 A paragraph ends at a blank line, or at a line that closes a sentence; lines wrapped inside a sentence belong together. Its
-features are its distinct 1- to 3-grams of words, where paragraph and sentence ends are words too. A multinomial logistic
+features are its distinct 1- to 3-grams of words, where paragraph and sentence ends and colons are words too. A multinomial logistic
 regression with a sparse set of weights gives the probability of each licence family, of an unknown licence and of none.
 
 The fit takes the fixed wordings below, runs on the driver once, and its bounds are constants. It keeps only n-grams that
@@ -13,6 +13,7 @@ Probabilities are calibrated on wordings that were left out of the fit, fold by
 from __future__ import annotations
 
 import functools
+import json
 import re
 
 import numpy as np
@@ -94,6 +95,8 @@ ORDINARY = [
     "The library holds a copy of this software box.", "Conditions of use of the pool are posted at the door.", "The notice above the door was in all capital letters.", "Commercial fishing needs a licence from the ministry.", "The attribution of blame is a public sport.", "The committee released the film into the cinemas.",
     "A driver without a valid license was stopped.", "She holds a pilot license and a boat license.", "They were licensed to sell wine under the new law.", "The company licensed the patent to a rival.", "License plates of the cars were copied.", "The MIT team won the cup.", "No part of the wall may be painted.", "The terms of the general are hard.",
     "Copying from the neighbour is prohibited in the exam.", "The foundation of the house is free of water.", "It is strictly prohibited to smoke.", "The court reserved its judgment on all rights of way.", "Version 2.0 of the game was released.", "Chapter 3.0 of the report is under review.", "By and by the cc field of the mail was filled.",
+    "Wir gehen heute mit.", "Kommst du mit?", "Er fuhr mit dem Zug und nahm das Kind mit.", "Mit der Zeit kam er mit.", "Das geht nur mit ihm: mit ihm allein.", "Sie brachte Brot mit; er aß mit.", "und mit. Mit und mit.", "Was ist mit der Lizenz?", "der die mit den und mit", "Sie sprach mit der Frau, mit dem Mann und mit uns.",
+    "Mit. Und nicht mit. Mit!", "mit.", "Ja. Mit.", "Mit? Nur mit.", "Es ist. Mit. Wo.", "Elle a lu le mit.", "La licence de pêche coûte cher.", "Tiene licencia de conducir.", "Die Rechte der Frau sind alt.",
 ]
 
 # Words that names of licences begin with, and what else they are said of.
@@ -107,7 +110,7 @@ _CLOSED, _BLANK = r"([.:;!?])[ \t]*\r?\n", r"\n[ \t\r\n]*\n"
 
 def _words(text: str) -> list[str]:
     found = re.findall(r"[^\W\d_]+|\d+(?:\.\d+)*|[.:;!?]+", text.lower())
-    return [END, *(END if re.fullmatch("[.:;!?]+", w) else w for w in found), END]
+    return [END, *(":" if ":" in w else END if re.fullmatch("[.;!?]+", w) else w for w in found), END]
 
 
 def grams(words: list[str]) -> set[str]:
@@ -231,31 +234,32 @@ def template_pairs() -> dict[str, list[list[str]]]:
     return out
 
 
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with columns that are computed once a row, however often later steps read them: no filter or projection
+    is pushed through a generator, here of one element, so none repeats what it makes."""
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return rows.select("*", F.explode(F.array(made)).alias("__gl_once")).select(*[F.col(c) for c in rows.columns], *[F.col("__gl_once")[n].alias(n) for n in columns])
+
+
 def paragraphs(docs: DataFrame, key: str, text: str, anchors: list[str]) -> DataFrame:
     """Paragraphs that hold an anchor: ``key``, ``paragraph`` (number from 0) and ``body`` (lower case)."""
-    low = F.lower(F.col(text))
     some = lambda c: functools.reduce(lambda a, b: a | b, [F.contains(c, F.lit(s)) for s in anchors])
-    closed = F.regexp_replace(low, _CLOSED, "$1\n\n")
-    lines = docs.where(some(low)).select(key, F.posexplode(F.split(closed, _BLANK, -1)).alias("paragraph", "body"))
+    low = _once(docs.select(key, text), low=F.lower(F.col(text))).where(some(F.col("low")))
+    closed = F.regexp_replace("low", _CLOSED, "$1\n\n")
+    lines = low.select(key, F.posexplode(F.split(closed, _BLANK, -1)).alias("paragraph", "body"))
     return lines.where(some(F.col("body")))
 
 
-def _ngrams(words: Column, n: int) -> Column:
-    if n == 1:
-        return words
-    places = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
-    return F.when(F.size(words) >= n, F.transform(places, lambda k: F.array_join(F.slice(words, k, n), " "))).otherwise(F.array().cast("array<string>"))
+def _plain(word: Column) -> Column:
+    return F.when(word.contains(":"), ":").when(word.rlike("^[.;!?]"), END).otherwise(word)
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _once(rows: DataFrame, **columns: Column) -> DataFrame:
-    """``rows`` with columns that are computed once a row, however often later steps read them: no filter or projection
-    is pushed through a generator, here of one element, so none repeats what it makes."""
-    made = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return rows.select("*", F.explode(F.array(made)).alias("__gl_once")).select(*[F.col(c) for c in rows.columns], *[F.col("__gl_once")[n].alias(n) for n in columns])
+def _around(words: Column, anchors: list[str]) -> Column:
+    """The 1- to 3-grams that hold an anchor; where the text ends too soon for one, a shorter one that is there as well."""
+    places = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*anchors), i)), lambda i: i.isNotNull())
+    at = lambda i, k: _plain(F.get(words, i + k))
+    own = lambda i: F.array(*[F.concat_ws(" ", *[at(i, k) for k in range(a, a + n)]) for n in (1, 2, 3) for a in range(1 - n, 1)])
+    return F.flatten(F.transform(places, own))
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD, confirm: float = CONFIRM, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,25 +272,22 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, confirm: float = CONFIRM
     an empty result. Nothing is shuffled.
     """
     classes, anchors, weights, bias, _ = fit()
-    strings = lambda own: f"array({', '.join(map(_quoted, own))})"
-    numbers = lambda own: f"array({', '.join(f'{v!r}D' for v in own)})"
-    model = F.expr(f"map({', '.join(f'{_quoted(g)}, {numbers(w)}' for g, w in weights.items())})")
-    templates = F.expr(f"map({', '.join(f'{_quoted(name)}, array({chr(44).join(map(strings, own))})' for name, own in template_pairs().items())})")
+    fixed = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)  # noqa: E731 - a constant, read once for a plan
+    model, templates = fixed(weights, "map<string,array<double>>"), fixed(template_pairs(), "map<string,array<array<string>>>")
     families = [c for c in classes if c not in (NONE, UNKNOWN)]
     rows = paragraphs(docs.select(F.col(key).alias(key), F.col(text).alias("__gl_text")), key, "__gl_text", anchors)
     own = F.regexp_extract_all("body", F.lit(f"({WORD})"), F.lit(1))
-    own = F.transform(own, lambda w: F.when(w.rlike("^[.:;!?]"), END).otherwise(w))
     rows = _once(rows.select(key, "paragraph", "body"), words=F.concat(F.array(F.lit(END)), own, F.array(F.lit(END)))).drop("body")
-    rows = _once(rows, pairs=F.array_distinct(_ngrams(F.col("words"), 2)))
-    features = F.array_intersect(F.concat(F.col("words"), F.col("pairs"), _ngrams(F.col("words"), 3)), F.expr(strings(weights)))
-    logits = F.aggregate(F.transform(features, lambda g: F.element_at(model, g)), F.expr(numbers(bias)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
-    rows = _once(rows.select(key, "paragraph", "pairs", "words"), logits=logits)
-    rows = _once(rows.drop("words"), top=F.array_max("logits"))
+    features = F.array_intersect(_around(F.col("words"), anchors), fixed(list(weights), "array<string>"))
+    logits = F.aggregate(F.transform(features, lambda g: F.element_at(model, g)), fixed(bias, "array<double>"), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    rows = _once(rows, logits=logits)
+    rows = _once(rows, top=F.array_max("logits"))
     rows = _once(rows, odds=F.transform("logits", lambda z: F.exp(z - F.col("top"))))
     rows = _once(rows.drop("logits", "top"), total=F.aggregate("odds", F.lit(0.0), lambda a, x: a + x)).where(F.get("odds", F.lit(0)) < F.col("total") * 0.5)
+    rows = _once(rows.withColumn("words", F.transform("words", _plain)), pairs=F.array_distinct(F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1), lambda x, y: F.concat_ws(" ", x, y)))).drop("words")
     rows = _once(rows, named=F.array(*[F.get("odds", F.lit(classes.index(c))) for c in families]))
     best = F.array_position("named", F.array_max("named")).cast("int")
-    rows = _once(rows.drop("odds"), probability=F.array_max("named") / F.col("total"), name=F.element_at(F.expr(strings(families)), best))
+    rows = _once(rows.drop("odds"), probability=F.array_max("named") / F.col("total"), name=F.element_at(fixed(families, "array<string>"), best))
     share = F.transform(F.element_at(templates, F.col("name")), lambda own: F.size(F.array_intersect("pairs", own)) / F.size(own))
     rows = _once(rows, coverage=F.array_max(share), family=F.when(F.col("probability") >= threshold, F.col("name")).otherwise(UNKNOWN))
     return rows.select(key, "paragraph", "family", "probability", "coverage", ((F.col("family") != UNKNOWN) & (F.col("coverage") >= confirm)).alias("confirmed"))
@@ -306,7 +307,7 @@ def oracle() -> str:
 WITH model(g, k, w) AS (VALUES {rows}), classes(k, name, b) AS (VALUES {biases}), templates(name, n, pair, size) AS (VALUES {pairs}),
 lines AS (SELECT doc_id, unnest(range(len(ls))) AS paragraph, unnest(ls) AS body FROM (
   SELECT doc_id, string_split_regex(regexp_replace(lower(text), '([.:;!?])[ \\t]*\\r?\\n', '\\1' || chr(10) || chr(10), 'g'), '\\n[ \\t\\r\\n]*\\n') AS ls FROM documents)),
-own AS (SELECT doc_id, paragraph, list_prepend('{END}', list_append(list_transform(regexp_extract_all(body, '{WORD}'), lambda w: CASE WHEN regexp_matches(w, '^[.:;!?]') THEN '{END}' ELSE w END), '{END}')) AS ws
+own AS (SELECT doc_id, paragraph, list_prepend('{END}', list_append(list_transform(regexp_extract_all(body, '{WORD}'), lambda w: CASE WHEN contains(w, ':') THEN ':' WHEN regexp_matches(w, '^[.;!?]') THEN '{END}' ELSE w END), '{END}')) AS ws
   FROM lines WHERE {' OR '.join(f"contains(body, {quote(a)})" for a in anchors)}),
 gram AS (
   SELECT DISTINCT doc_id, paragraph, n, g FROM (
