@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions.checkpoints import checkpoint
-from graphloom.llm.common import U64, bytes_of, chunks, mix64, partitions, table
+from graphloom.llm.common import U64, bytes_of, chunks, hand_back, mix64, partitions, table
 from graphloom.operators.components import connected_components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -61,6 +61,7 @@ def _fingerprint(key: str, text: str, shingle: int):
         for part in chunks(batches, text, 8 << 20):
             prints = fingerprints(bytes_of(part.column(text).combine_chunks()), shingle)
             yield from part.drop_columns([text]).append_column("fingerprint", pa.array(prints.view(np.int64), pa.int64())).combine_chunks().to_batches()
+        hand_back()
 
     return run
 
@@ -139,10 +140,10 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
     placed = entries.select("fingerprint", F.col("t").cast("int").alias("t"), F.pmod(F.xxhash64("t", F.col("fingerprint").bitwiseAND(F.col("m"))), F.lit(buckets)).cast("int").alias("bucket"))
     links = placed.groupBy("bucket").applyInArrow(_collide(radius), "a long, b long")
     found = connected_components(links).withColumnRenamed("node", "fingerprint")
-    # each sum is written before it is joined, so that a component with many fingerprints can be dealt to several tasks
+    # what is joined is written before, so that a component or fingerprint with many rows can be dealt to several tasks
     least = checkpoint(found.join(nodes, "fingerprint").groupBy("component").agg(F.min("least").alias("component_id")))
     named = checkpoint(found.join(least, "component").select("fingerprint", F.col("component_id").alias("__gl_least")))
-    every = nodes.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("__gl_least", "least").alias("component_id"))
+    every = checkpoint(nodes.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("__gl_least", "least").alias("component_id")))
     return prints.join(every, "fingerprint").select(key, "fingerprint", "component_id")
 
 
