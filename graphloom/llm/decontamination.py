@@ -6,23 +6,27 @@ if some part of it is within ``rate * L`` edits of the whole item.
 * *Windows.* Of the L // 8 eight-byte pieces of an item, all but one an edit survive, on diagonals that differ by the
   edits at most. A position of a document is the start of a window if any item at all has enough of its pieces on the
   diagonals from there on; this count loses no window within the radius, and doesn't say which item it holds. Items too
-  short for that have shorter pieces, one more than edits. Starts a few bytes aside are added, since the first pieces of
-  a passage may be lost.
-* *Embedding.* A CGK walk reads a window, or an item, byte by byte, and at each step stays or goes on, as a random bit
-  for step and byte says. Walks over strings within few edits fall into step again, so that most of what they read
-  agrees: edit distance becomes Hamming distance. Over long strings with edits by the hundred walks lose each other, so
-  only the first ``STEPS`` are taken; every item-sized window begins with them.
-* *Tables.* Each of ``TABLES`` tables of each of ``WALKS`` walks samples ``SAMPLED`` steps; a window is looked up in all
-  of them, among the items of all lengths. The numbers were measured: at the radius, with insertions, deletions,
-  substitutions or all of them, and no window filter before, recall is 0.97 at least for items of 80 to 2500 bytes
-  (``tests/llm/test_operators.py``).
-* *Verification.* The least edit distance of an item to any part of the windows in whose tables it was found, by
-  bit-parallel dynamic programming over the whole item.
+  short for that have shorter pieces, one more than edits.
+* *Parts.* An item is cut, from its first byte to its last, into parts of about ``PART`` bytes. Edits may crowd anywhere,
+  but not in all parts: some part has no more than its share of them. So every part of an item is embedded, and every
+  part of a window: where its own pieces, or the ones before it, say that it begins, and a byte aside.
+* *Embedding.* A CGK walk reads a part byte by byte, and at each step stays or goes on, as a random bit for step and
+  byte says. Walks over strings within few edits fall into step again, so that most of what they read agrees: edit
+  distance becomes Hamming distance. Over long strings with edits by the hundred walks lose each other, which is why
+  items are cut; ``STEPS`` steps go through a part.
+* *Tables.* Each of ``TABLES`` tables of each of ``WALKS`` walks samples ``SAMPLED`` steps; a part of a window is looked
+  up in all of them, among the parts of the items of all lengths. The numbers were measured: at the radius, with
+  insertions, deletions, substitutions or all of them, and no window filter before, the first part alone finds 0.97 at
+  least of the items of 10 to 2500 bytes (``tests/llm/test_operators.py``, where others have all edits at one end).
+* *Verification.* The least edit distance of an item to any stretch of the windows in which one of its parts was found,
+  by bit-parallel dynamic programming over the whole item, unless more of its pieces are gone than edits could take.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,9 +44,11 @@ ITEM_BLOCK = 8 << 20
 _TABLE_BITS = 22
 #: Walks, tables of a walk, steps that a table samples, and steps of a walk.
 WALKS, TABLES, SAMPLED, STEPS = 32, 16, 7, 120
-#: Bytes beside the start of a window where others begin.
+#: Bytes of a part of an item, which the steps of a walk go through.
+PART = 64
+#: Bytes beside the start of a part where it is looked up, too.
 ASIDE = 1
-#: Windows that are embedded together.
+#: Parts that are embedded together.
 EMBEDDED = 4096
 
 
@@ -74,6 +80,12 @@ def infix_distance(item: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def cuts(size: int) -> list[int]:
+    """Where the parts of an item begin: of like lengths, on whole pieces."""
+    n = max(1, -(-size // PART))
+    return [k * (size // PIECE) // n * PIECE for k in range(n)]
+
+
 class Index:
     """Pieces of a block of items, sorted, with tables of bits that turn most positions down at once.
 
@@ -87,6 +99,8 @@ class Index:
         sizes = np.array([len(t) for _, t in self.items], np.int64)
         width = np.where(sizes // PIECE > self.edits, PIECE, np.maximum(sizes // (self.edits + 1), 1))
         self.need = np.maximum(sizes // width - self.edits, 1)
+        self.cuts = [cuts(n) for n in sizes.tolist()]
+        self.pieces = [[t[o : o + w] for o in range(0, len(t) - w + 1, w)] for (_, t), w in zip(self.items, width.tolist(), strict=True)]
         self.parts = [self._pieces(w, np.flatnonzero(width == w).tolist()) for w in sorted(set(width.tolist()))]
 
     def _pieces(self, width: int, chosen: list[int]) -> tuple:
@@ -95,21 +109,37 @@ class Index:
         value = np.array([e[0] for e in entries], U64)
         bits = np.zeros(1 << _TABLE_BITS, bool)
         bits[self.slot(value)] = True
-        return width, value, np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), bits
+        part = [bisect.bisect_right(self.cuts[k], o) for _, k, o in entries]
+        own = np.array([self.cuts[k][p - 1] for (_, k, _), p in zip(entries, part, strict=True)], np.int64)
+        behind = np.array([self.cuts[k][min(p, len(self.cuts[k]) - 1)] for (_, k, _), p in zip(entries, part, strict=True)], np.int64)
+        return width, value, np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), own, behind, bits
+
+    def may_hold(self, text: bytes, item: int) -> bool:
+        """Are no more of the item's pieces gone than edits could take? If not, the text can't hold the item."""
+        gone = int(self.edits[item])
+        for piece in self.pieces[item]:
+            if piece not in text:
+                gone -= 1
+                if gone < 0:
+                    return False
+        return True
 
     @staticmethod
     def slot(x: np.ndarray) -> np.ndarray:
         return (x * U64(0x9E3779B97F4A7C15)) >> U64(64 - _TABLE_BITS)
 
     def starts(self, packed: bytes, begins: np.ndarray) -> np.ndarray:
-        """Where windows begin that may hold an item, ``ASIDE`` bytes more or less, in ascending order."""
+        """Where parts of windows begin that may hold an item, ``ASIDE`` bytes more or less, in ascending order."""
         if not len(packed) or not self.items:
             return np.zeros(0, np.int64)
         whole = loads(packed + bytes(PIECE - 1))
         found = np.unique(np.concatenate([self._starts(whole, begins, *part) for part in self.parts]))
-        return np.unique(np.clip((found[:, None] + np.arange(-ASIDE, ASIDE + 1)).reshape(-1), 0, len(packed) - 1))
+        doc = np.searchsorted(begins, found, "right") - 1
+        ends = np.append(begins[1:] - 1, len(packed))
+        places = np.clip(found[:, None] + np.arange(-ASIDE, ASIDE + 1), begins[doc][:, None], (ends[doc] - 1)[:, None])
+        return np.unique(places)
 
-    def _starts(self, whole: np.ndarray, begins: np.ndarray, width: int, value: np.ndarray, owner: np.ndarray, offset: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    def _starts(self, whole: np.ndarray, begins: np.ndarray, width: int, value: np.ndarray, owner: np.ndarray, offset: np.ndarray, own_cut: np.ndarray, next_cut: np.ndarray, bits: np.ndarray) -> np.ndarray:
         own = whole & U64((1 << 8 * width) - 1) if width < PIECE else whole
         hits = np.flatnonzero(bits[self.slot(own)])
         low, high = np.searchsorted(value, own[hits]), np.searchsorted(value, own[hits], "right")
@@ -121,7 +151,7 @@ class Index:
         doc, item = np.searchsorted(begins, at, "right") - 1, owner[entry]
         diagonal = at - offset[entry]
         order = np.lexsort((diagonal, item, doc))
-        doc, item, diagonal = doc[order], item[order], diagonal[order]
+        doc, item, diagonal, entry = doc[order], item[order], diagonal[order], entry[order]
         wide = 4 * len(whole) + 4 * int(self.edits.max()) + 4 * max(len(t) for _, t in self.items)
         group = np.cumsum(np.append(False, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])))
         line = group * wide + diagonal
@@ -129,7 +159,10 @@ class Index:
         good = np.flatnonzero(behind - np.arange(len(line)) >= self.need[item])
         edge = np.bincount(good, minlength=len(line) + 1) - np.bincount(behind[good], minlength=len(line) + 1)
         good = np.cumsum(edge[:-1]) > 0  # all that such a count counted: the first piece left may be on any diagonal
-        return np.maximum(diagonal[good], begins[doc[good]])
+        doc, diagonal, entry = doc[good], diagonal[good], entry[good]
+        ends = np.append(begins[1:] - 1, len(whole))
+        places = np.concatenate([diagonal + own_cut[entry], diagonal + next_cut[entry]])
+        return np.clip(places, np.tile(begins[doc], 2), np.tile(ends[doc] - 1, 2))
 
 
 _STAY_OR_GO = (mix64(np.arange(WALKS * STEPS * 256, dtype=U64) + U64(0x632BE59BD9B4E019)) >> U64(63)).astype(np.uint8).reshape(WALKS, STEPS, 256)
@@ -150,13 +183,16 @@ def embed(strings: np.ndarray) -> np.ndarray:
 
 
 class Tables:
-    """Bit-sampling tables of the walks over items. Items of like lengths sample the same steps, within their reach."""
+    """Bit-sampling tables of the walks over all parts of items. Parts of like lengths sample the same steps, within
+    their reach."""
 
     def __init__(self, items: list[bytes]) -> None:
-        reach = np.array([min(len(t), STEPS) if len(t) < 16 else min(len(t) * 9 // 5, STEPS) for t in items], np.int64)
+        parts = [(k, a, b) for k, t in enumerate(items) for a, b in itertools.pairwise([*cuts(len(t)), len(t)])]
+        self.item, self.cut = np.array([p[:2] for p in parts], np.int64).reshape(-1, 2).T
+        reach = np.array([min(b - a, STEPS) if b - a < 16 else min((b - a) * 9 // 5, STEPS) for _, a, b in parts], np.int64)
         grid = np.unique(np.minimum(np.geomspace(1, STEPS, 26).round().astype(np.int64), STEPS))
         reach = grid[np.searchsorted(grid, reach, "right") - 1]
-        rows = np.array([list(t[:STEPS].ljust(STEPS, b"\0")) for t in items], np.uint8).reshape(len(items), STEPS)
+        rows = np.array([list(items[k][a : a + STEPS].ljust(STEPS, b"\0")) for k, a, _ in parts], np.uint8).reshape(len(parts), STEPS)
         self.classes = []
         for r in sorted(set(reach.tolist())):
             own = np.flatnonzero(reach == r)
@@ -175,7 +211,7 @@ class Tables:
         return out.reshape(-1, read.shape[2])
 
     def find(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(string, item) where some table has both."""
+        """(string, part) where some table has both."""
         found = []
         read = embed(strings)
         for steps, known, owner in self.classes:
@@ -190,8 +226,13 @@ class Tables:
         return pairs >> 32, pairs & 0xFFFFFFFF
 
 
-def retrieve(tables: Tables, packed: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, item) for the windows that begin at ``starts``. Windows that read the same are looked up once."""
+_ONE_TEXT = np.zeros(1, np.int64)
+
+
+def retrieve(tables: Tables, packed: bytes, starts: np.ndarray, begins: np.ndarray = _ONE_TEXT) -> tuple[np.ndarray, np.ndarray]:
+    """(start, item) for the items with a part that is found at one of ``starts``, which are places of any of their parts;
+    an item begins as far before its part as the part lies in it, but not before the text does. Places that read the
+    same are looked up once."""
     padded = np.frombuffer(packed + bytes(STEPS), np.uint8)
     view = np.lib.stride_tricks.sliding_window_view(padded, STEPS)
     where, items = [], []
@@ -204,11 +245,12 @@ def retrieve(tables: Tables, packed: bytes, starts: np.ndarray) -> tuple[np.ndar
         counts = np.bincount(inverse, minlength=len(distinct))
         first = np.cumsum(counts) - counts
         for b in range(0, len(distinct), EMBEDDED):
-            string, item = tables.find(distinct[b : b + EMBEDDED])
+            string, part = tables.find(distinct[b : b + EMBEDDED])
             n = counts[b + string]
             place = np.repeat(first[b + string], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            where.append(own[order[place]])
-            items.append(np.repeat(item, n))
+            at = own[order[place]]
+            where.append(np.maximum(at - np.repeat(tables.cut[part], n), begins[np.searchsorted(begins, at, "right") - 1]))
+            items.append(np.repeat(tables.item[part], n))
     return (np.concatenate(where), np.concatenate(items)) if where else (np.zeros(0, np.int64),) * 2
 
 
@@ -234,9 +276,12 @@ def _found(block: Broadcast, rate: float):
         packed = b"\0".join(texts)
         begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        for d, i, low, high in spans(index, begins, *retrieve(tables, packed, index.starts(packed, begins))):
+        for d, i, low, high in spans(index, begins, *retrieve(tables, packed, index.starts(packed, begins), begins)):
             first = max(0, low - int(begins[d]))
-            distance, end = infix_distance(index.items[i][1], texts[d][first : high - int(begins[d])])
+            text = texts[d][first : high - int(begins[d])]
+            if not index.may_hold(text, i):
+                continue
+            distance, end = infix_distance(index.items[i][1], text)
             if distance <= index.edits[i]:
                 found[d, i] = min(found.get((d, i), (distance, first + end)), (distance, first + end))
         return found

@@ -379,6 +379,33 @@ def test_leaks_of_long_items_by_indels(spark):
     assert len([k for k, _ in items if (k, k) not in found]) == 0
 
 
+@pytest.mark.parametrize("end", ["first", "last"])
+def test_leaks_with_all_edits_at_one_end(spark, end):
+    """As many edits as the radius allows, in the first or the last bytes of an item: the rest of it is copied exactly."""
+    rng = random.Random(12)
+    text = decontamination.plain(" ".join(r.text for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").orderBy("item_id").collect()).encode()).decode()
+    items, rows = [], []
+    for k, size in enumerate([150, 400, 1000, 2500] * 9):
+        at, kind = rng.randrange(len(text) - size), ("insert", "delete", "replace")[k // 4 % 3]
+        t = " ".join(text[at : at + size].split())
+        inner = [at for at in range(1, len(t) - 1) if " " not in t[at - 1 : at + 2] and t[at].isascii()]
+        edits, out = int(0.1 * len(t.encode())), list(t)
+        inner = inner[: 2 * edits] if end == "first" else inner[-2 * edits :]
+        for at in sorted(rng.sample(inner, edits), reverse=True):
+            out[at : at + (kind != "insert")] = [] if kind == "delete" else [rng.choice("etaoin")]
+        items.append((k, t))
+        rows.append((k, f"before it {''.join(out)} and after" if k % 2 else "".join(out)))
+    found = {(r.doc_id, r.item_id) for r in decontamination.leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [k for k, _ in items if (k, k) not in found] == []
+
+
+def test_parts_cover_items():
+    for size in range(1, 3000):
+        starts = decontamination.cuts(size)
+        lengths = np.diff([*starts, size])
+        assert starts[0] == 0 and lengths.max() < decontamination.PART + decontamination.PIECE and (size < decontamination.PART or lengths.min() >= decontamination.PART // 2)
+
+
 # Chat formatting
 
 
