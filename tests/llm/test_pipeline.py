@@ -80,6 +80,13 @@ def test_leaks_go_with_any_key(spark):
     assert sorted(map(str, map(tuple, stage(spark, 3, rows).collect()))) == sorted(str(r) for r in rows if item not in (r[1] or ""))
 
 
+def test_leaks_go_when_their_beginnings_are_other_bytes(spark):
+    """The first tenth of an item, which is all that may differ, is something else; the rest is copied."""
+    items = sorted((decontamination.plain(r.text.encode()).decode() for r in spark.read.parquet(f"{DATA}/sf0.001/benchmark.parquet").collect()), key=lambda t: (-len(t), t))[:8]
+    rows = [(k, "q" * (len(t.encode()) // 10) + t[len(t.encode()) // 10 :], "en", "s", 1) for k, t in enumerate(items) if t.isascii()] + [(100, "clean", "en", "s", 1)]
+    assert len(rows) > 3 and [r.doc_id for r in stage(spark, 3, rows).collect()] == [100]
+
+
 def test_long_documents_keep_their_language(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select(COLUMNS).collect()]
     more = spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").where("text IS NOT NULL")
