@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -14,101 +13,31 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.llm import word_bpe
 from graphloom.llm.common import bytes_of, hand_back, table
 
 LENGTH, END = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
 #: Documents that one packer serves; more make for less padding, and each is a few bytes.
 SERVED = 16384
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 250_000
-#: Marks that end words, and the first letter behind the Latin blocks whose lower-case letters are in composed form.
-_MARKS, _BEYOND_LATIN = b".,;:!?", "\u0250"
-_SEPARATOR, _SEPARATOR_ID = "<|startoftext|>", 49406
-_words: dict[bytes, bytes] = {}
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letters by which byte-level vocabularies write the bytes from 128 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-
-
-_LETTERS = _byte_letters()
-
-
-def words_of(text: bytes) -> list[bytes]:
-    """The words of a text, A-Z in lower case, which the vocabulary's normaliser does anyhow; but special tokens are
-    found before that, and only as they are written, so words that may hold one keep their capitals."""
-    if b"<|" in text:
-        return [w if b"<|" in w else w.lower() for w in text.split()]
-    return text.lower().split()
-
-
-def word_ids(words: set[bytes], tokenizer) -> dict[bytes, bytes]:
-    """The worker's memory of words' ids, as little-endian 32-bit numbers, with all of ``words`` in it.
-
-    The vocabulary's pre-tokenizer drops white space and never reaches across it, so a text's ids are its words' ids.
-    It also parts a run of letters from the marks that follow, so a word of Latin letters, which no normaliser changes,
-    goes straight to the merges, and its marks are looked up. Other words go to the tokenizer in one string, parted by a
-    special token; one that may contain it goes alone.
-    """
-    missing = [w for w in words if w not in _words]
-    if len(_words) + len(missing) > REMEMBERED:
-        _words.clear()
-        missing = list(words)
-    merges, rest = tokenizer.model.tokenize, []
-    for w in missing:
-        body = w.rstrip(_MARKS)
-        letters = body.decode()
-        if not letters.isalpha() or max(letters) >= _BEYOND_LATIN or letters.lower() != letters:
-            rest.append(w)
-            continue
-        ids = _words.get(body)
-        if ids is None:
-            own = [t.id for t in merges(letters if letters.isascii() else "".join(map(_LETTERS.__getitem__, body)))]
-            ids = _words[body] = struct.pack(f"<{len(own)}I", *own)
-        if len(body) < len(w):
-            marks = w[len(body) :]
-            if marks not in _words:
-                _words[marks] = np.array(tokenizer.encode(marks.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-            _words[w] = ids + _words[marks]
-    joined = [w for w in rest if b"<|" not in w]
-    for at in range(0, len(joined), 2048):
-        part = joined[at : at + 2048]
-        ids = np.array(tokenizer.encode_batch_fast([_SEPARATOR.join(w.decode() for w in part)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(ids == _SEPARATOR_ID)
-        raw = ids.tobytes()
-        for w, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-            _words[w] = raw[4 * a : 4 * b]
-    for w in rest:
-        if b"<|" in w:
-            _words[w] = np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-    return _words
-
-
-def _pieces(vocabulary: Broadcast, key: str, text: str, length: int, packers: int):
+def _pieces(vocabulary: Broadcast, table: Broadcast, key: str, text: str, length: int, packers: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(vocabulary.value)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out: list[list] = [[] for _ in range(6)]
-                split = [words_of(t or b"") for t in bytes_of(part.column(text))]
-                ids = word_ids(set().union(*split), tokenizer)
-                for i, words in zip(part.column(key).to_pylist(), split, strict=True):
-                    raw = b"".join(map(ids.__getitem__, words)) + end
-                    packer = xxhash.xxh64_intdigest(b"%d:%d" % (-1 if i is None else i, zlib.crc32(raw))) % packers
-                    for start in range(0, len(raw) // 4, length):
-                        own = raw[4 * start : 4 * (start + length)]
-                        for values, v in zip(out, (i, start, len(own) // 4, zlib.crc32(own), len(raw) // 4, packer), strict=True):
-                            values.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], [key, "start", "length", "ids_crc32", "doc_tokens", "packer"])
+            out: list[list] = [[] for _ in range(6)]
+            texts = (t for at in range(0, batch.num_rows, 64) for t in bytes_of(batch.column(text).slice(at, 64)))
+            ids = word_bpe.text_ids(texts, table.value, lambda: vocabulary.value)
+            for i, own in zip(batch.column(key).to_pylist(), ids, strict=True):
+                raw = own.tobytes() + end
+                packer = xxhash.xxh64_intdigest(b"%d:%d" % (-1 if i is None else i, zlib.crc32(raw))) % packers
+                for start in range(0, len(raw) // 4, length):
+                    own = raw[4 * start : 4 * (start + length)]
+                    for values, v in zip(out, (i, start, len(own) // 4, zlib.crc32(own), len(raw) // 4, packer), strict=True):
+                        values.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], [key, "start", "length", "ids_crc32", "doc_tokens", "packer"])
         hand_back()
 
     return run
@@ -165,10 +94,11 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, key: str = "doc_
     spark = docs.sparkSession
     packers = max(1, round(docs.count() / SERVED))
     with open(tokenizer, encoding="utf-8") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())
+        vocabulary = f.read()
+    parts = [spark.sparkContext.broadcast(v) for v in (vocabulary, word_bpe.merges(vocabulary))]
     fields = f"{key} long, start long, length long, ids_crc32 long, doc_tokens long"
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("__gl_text"))
-    pieces = rows.mapInArrow(_pieces(vocabulary, key, "__gl_text", length, packers), f"{fields}, packer long")
+    pieces = rows.mapInArrow(_pieces(*parts, key, "__gl_text", length, packers), f"{fields}, packer long")
     return pieces.groupBy("packer").applyInArrow(_pack(key, length, packers), f"{fields}, sequence_id long, offset long")
 
 

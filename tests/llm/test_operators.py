@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from graphloom.llm import chat_format, decontamination, embedding_dedup, language_id, licences, packing, sharding, simhash
+from graphloom.llm import chat_format, decontamination, embedding_dedup, language_id, licences, packing, sharding, simhash, word_bpe
 
 TABLES = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string"
@@ -260,6 +261,44 @@ def test_packing_round_trip(spark):
     assert packing.pack(spark.createDataFrame([], DOCS), packing.tokenizer_path()).collect() == []
 
 
+def test_word_ids_are_the_tokenizers(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    with open(packing.tokenizer_path(), encoding="utf-8") as f:
+        vocabulary = f.read()
+    table, rng = word_bpe.merges(vocabulary), random.Random(8)
+    texts = [f"a{c}b{c}{c} {c}1{c}'s {c}'{c} x{c}" for c in map(chr, range(0x300))]
+    parts = [*("abstmdrevlLSTé!.," + "'" * 3 + "| <>12²Éß İ́ſ日’\t\n\x85\xa0\x1c\0µª"), "x" * 20, "<|", "<|startoftext|>", "<|ENDOFTEXT|>", "'LL", "'re"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(3000)] + [" " * 9, "\n", "long" * 5000]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for size in (16, 100, word_bpe.CHUNK):  # long texts go in slices, short ones together
+        monkeypatch.setattr(word_bpe, "CHUNK", size)
+        assert [ids.tolist() for ids in word_bpe.text_ids([t.encode() for t in texts], table, lambda: vocabulary)] == want
+    assert [len(ids) for ids in word_bpe.text_ids([None, b"", b"a"], table, None)] == [0, 0, 1]
+    with pytest.raises(ValueError):
+        word_bpe.merges(vocabulary.replace("NFC", "NFKC", 1))
+
+
+def test_new_latin_words_cost_little():
+    """Words not seen before take less than a third of the tokenizer's CPU time, which is not even asked for them."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    with open(packing.tokenizer_path(), encoding="utf-8") as f:
+        table, rng = word_bpe.merges(f.read()), random.Random(9)
+    parts = "an re ti on é er ou in th ed ç st or en ha ng es nt".split()
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randint(2, 6))).capitalize() + rng.choice(["", ",", "."]) for _ in range(1000)) for _ in range(200)]
+    began = time.process_time()
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    plain = time.process_time() - began
+    began = time.process_time()
+    got = list(word_bpe.text_ids([t.encode() for t in texts], table, None))
+    took = time.process_time() - began
+    print(f"\nids of new words, CPU seconds: {took:.2f}, by the tokenizer {plain:.2f}")
+    assert [ids.tolist() for ids in got] == want and took < plain / 3
+
+
 # Decontamination
 
 
