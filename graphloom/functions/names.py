@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,9 +16,18 @@ def lookup(key: Column, table: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
 
 
+#: All that Unicode counts as white space.
+SPACES = "\t\n\x0b\x0c\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Take white space of any kind off both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once: what an expression inside a lambda refers to is computed for every element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def first_non_blank(*columns: Column | str) -> Column:

@@ -19,10 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run shared input SQL on Spark."""
+def rows(spark: SparkSession, sf_dir: str, sql: str, **dealt: str) -> DataFrame:
+    """Run shared input SQL on Spark. Tables named in ``dealt`` are dealt to all cores by that key first: a scan of few
+    splits may make texts of many times its size, and windows by the key then move no text."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in set(_NAMED.findall(sql)):
-        table(spark, sf_dir, name).createOrReplaceTempView(f"graphloom_{name}")
+        read = table(spark, sf_dir, name)
+        (read.repartition(width, dealt[name]) if name in dealt else read).createOrReplaceTempView(f"graphloom_{name}")
     return spark.sql(_NAMED.sub(r"graphloom_\1", sql))
 
 

@@ -51,7 +51,7 @@ NAMED = "SELECT s_suppkey AS doc_id, 3 AS pos, '03_part_5' AS name FROM @supplie
 
 
 def doc_rows(spark, d):
-    return rows(spark, d, DOCS)
+    return rows(spark, d, DOCS, customer="c_custkey")
 
 
 def line_rows(spark, d):
