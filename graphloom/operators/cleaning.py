@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.names import strip
+from graphloom.functions.names import let, strip
 
 #: A line that comes so often and is shorter than this is noise.
 REPEATED, SHORT = 3, 120
@@ -31,11 +31,13 @@ def number_images(text: Column) -> Column:
 
 def without_noise(text: Column) -> Column:
     """Without the lines that, trimmed, come often and are short. Counting stays inside the row, by sorting its lines."""
-    lines = F.split(text, "\r\n|[\n\r]")
-    sorted_ = F.array_sort(F.filter(F.transform(lines, lambda x: strip(x)), lambda x: x != ""))
-    again = F.filter(F.transform(sorted_, lambda x, i: F.when(x == F.get(sorted_, i + (REPEATED - 1)), x)), lambda x: x.isNotNull())
-    noise = F.filter(F.array_distinct(again), lambda x: F.length(x) < SHORT)
-    return F.array_join(F.filter(lines, lambda x: ~F.array_contains(noise, strip(x))), "\n")
+    def noise(lines: Column) -> Column:
+        sorted_ = F.array_sort(F.filter(F.transform(lines, strip), lambda x: x != ""))
+        again = lambda all_: F.filter(all_, lambda x, i: x == F.get(all_, i + (REPEATED - 1)))
+        return F.filter(F.array_distinct(let(sorted_, again)), lambda x: F.length(x) < SHORT)
+
+    kept = lambda lines: let(noise(lines), lambda listed: F.filter(lines, lambda x: ~F.array_contains(listed, strip(x))))
+    return F.array_join(let(F.split(text, "\r\n|[\n\r]"), kept), "\n")
 
 
 def noise_lines(lines: DataFrame) -> DataFrame:
@@ -61,15 +63,22 @@ def squeezed(text: Column) -> Column:
 def _entry(row: Column) -> Column:
     """A row of a table of contents as a list item, null if it has no title."""
     cells = F.filter(F.transform(F.split(F.regexp_replace(row, r"^\|+|\|+$", ""), r"\|"), lambda c: strip(c)), lambda c: c != "")
-    numbered = F.get(cells, F.lit(0)).rlike(r"^\d[\d.]*$")
-    section = F.when(numbered, F.get(cells, F.lit(0))).otherwise("")
-    rest = F.when(numbered, F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0)))).otherwise(cells)
     leader = r"\.{3,}\s*\d+\s*$"
-    body = F.coalesce(F.get(F.filter(rest, lambda c: c.rlike(leader)), F.lit(0)), F.get(rest, F.lit(0)))
-    title = F.when(body.rlike(leader), strip(F.regexp_extract(body, r"^(.*?)\s*\.{3,}\s*(\d+)\s*$", 1))).otherwise(strip(body))
-    page = F.when(body.rlike(leader), F.concat(F.lit(" -- p."), F.regexp_extract(body, r"^(.*?)\s*\.{3,}\s*(\d+)\s*$", 2))).otherwise("")
-    indent = F.when(section == "", "").otherwise(F.repeat(F.lit("  "), F.size(F.split(section, r"\.")) - 1))
-    return F.when(title != "", F.concat(indent, F.lit("- "), F.when(section == "", "").otherwise(F.concat(F.lit("**"), section, F.lit("**  "))), title, page))
+
+    def parts(cells: Column) -> Column:
+        numbered = F.get(cells, F.lit(0)).rlike(r"^\d[\d.]*$")
+        rest = F.when(numbered, F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0)))).otherwise(cells)
+        body = let(rest, lambda r: F.coalesce(F.get(F.filter(r, lambda c: c.rlike(leader)), F.lit(0)), F.get(r, F.lit(0))))
+        return F.struct(F.when(numbered, F.get(cells, F.lit(0))).otherwise("").alias("section"), body.alias("body"))
+
+    def entry(p: Column) -> Column:
+        section, body = p["section"], p["body"]
+        title = F.when(body.rlike(leader), strip(F.regexp_extract(body, r"^(.*?)\s*\.{3,}\s*(\d+)\s*$", 1))).otherwise(strip(body))
+        page = F.when(body.rlike(leader), F.concat(F.lit(" -- p."), F.regexp_extract(body, r"^(.*?)\s*\.{3,}\s*(\d+)\s*$", 2))).otherwise("")
+        indent = F.when(section == "", "").otherwise(F.repeat(F.lit("  "), F.size(F.split(section, r"\.")) - 1))
+        return let(title, lambda t: F.when(t != "", F.concat(indent, F.lit("- "), F.when(section == "", "").otherwise(F.concat(F.lit("**"), section, F.lit("**  "))), t, page)))
+
+    return let(let(cells, parts), entry)
 
 
 def contents_list(text: Column) -> Column:
@@ -78,13 +87,15 @@ def contents_list(text: Column) -> Column:
     between = F.split(text, _TABLE, -1)
 
     def one(t: Column) -> Column:
-        rows = F.split(strip(F.regexp_extract(t, _TABLE, 1)), "\n")
-        dotted = F.size(F.filter(rows, lambda r: r.rlike(r"\.{4,}\s*\d+")))
-        made = F.concat(F.array_join(F.filter(F.transform(rows, lambda r: _entry(r)), lambda e: e.isNotNull()), "\n"), F.lit("\n"))
-        return F.when((dotted >= LEADERS) & (dotted >= F.size(rows) * SHARE), made).otherwise(t)
+        def made(rows: Column) -> Column:
+            dotted = F.size(F.filter(rows, lambda r: r.rlike(r"\.{4,}\s*\d+")))
+            listed = F.concat(F.array_join(F.filter(F.transform(rows, lambda r: _entry(r)), lambda e: e.isNotNull()), "\n"), F.lit("\n"))
+            return let(dotted, lambda d: F.when((d >= LEADERS) & (d >= F.size(rows) * SHARE), listed).otherwise(t))
+
+        return let(F.split(strip(F.regexp_extract(t, _TABLE, 1)), "\n"), made)
 
-    done = F.transform(tables, one)
-    return F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(done, i), F.lit("")))), "")
+    put = lambda done: F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(done, i), F.lit(""))))
+    return F.array_join(let(F.transform(tables, one), put), "")
 
 
 def cleaned(docs: DataFrame, column: str = "text") -> DataFrame:

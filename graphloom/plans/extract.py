@@ -89,7 +89,7 @@ def specification(spark, d):
 
 
 def dirty(column):
-    return lambda spark, d: rows(spark, d, DIRTY).select("doc_id", column(F.col("text")).alias("text"))
+    return lambda spark, d: rows(spark, d, DIRTY, supplier="s_suppkey").select("doc_id", column(F.col("text")).alias("text"))
 
 
 def joined(c):
@@ -115,13 +115,13 @@ QUERIES = {
     "ex_embed_text": lambda spark, d: table(spark, d, "part").select("p_partkey", extraction.embedding_text(F.col("p_type"), F.col("p_name"), F.lit(""), F.col("p_brand")).alias("text"), extraction.input_type(F.when(F.col("p_size") % 2 == 0, F.lit("Method")).otherwise(F.col("p_type"))).alias("input_type")),
     "ex_embed_batches": lambda spark, d: extraction.embed(table(spark, d, "part").select("p_partkey", F.col("p_name").alias("text"))).select("p_partkey", F.size("vector").alias("dimension"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")),
     "ex_final_errors": lambda spark, d: rows(spark, d, "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'Input TOO LONG' WHEN event_id % 3 = 1 THEN 'HTTP 400 ' || event_type ELSE 'timeout' END AS message FROM @events").select("event_id", extraction.is_final_error(F.col("message")).alias("final")),
-    "clean_noise_lines": lambda spark, d: cleaning.noise_lines(markdown.lines(rows(spark, d, DIRTY))),
+    "clean_noise_lines": lambda spark, d: cleaning.noise_lines(markdown.lines(rows(spark, d, DIRTY, supplier="s_suppkey"))),
     "clean_without_noise": dirty(cleaning.without_noise),
     "clean_relevel": dirty(cleaning.relevel),
     "clean_page_numbers": dirty(cleaning.without_page_numbers),
     "clean_images": dirty(cleaning.number_images),
     "clean_toc": dirty(cleaning.contents_list),
-    "clean_all": lambda spark, d: cleaning.cleaned(rows(spark, d, DIRTY)).select("doc_id", "text"),
+    "clean_all": lambda spark, d: cleaning.cleaned(rows(spark, d, DIRTY, supplier="s_suppkey")).select("doc_id", "text"),
     "ingest_link_version": links,
     "ingest_anti_join": lambda spark, d: links(spark, d).join(rows(spark, d, LINKS).where("k % 3 = 0").select("k"), "k", "left_anti").select("k", "filename"),
     "ingest_html_links": lambda spark, d: table(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("pos", "href")),
