@@ -66,9 +66,14 @@ _FACTS = """struct<root:string,children:array<string>,change_sets:array<string>,
   modules:array<string>,dependencies:array<string>,plugins:array<string>,properties:map<string,string>>"""
 
 
+def _dealt(files: DataFrame) -> DataFrame:
+    """Files dealt to all cores: parsing is what costs, and a scan may have few splits."""
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "repository", "path")
+
+
 def _xml(files: DataFrame) -> DataFrame:
     """Well-formed XML files with ``x``; others are passed over."""
-    return files.withColumn("x", F.from_json(_xml_facts.asNondeterministic()("text"), _FACTS)).where("x IS NOT NULL")
+    return _dealt(files).withColumn("x", F.from_json(_xml_facts.asNondeterministic()("text"), _FACTS)).where("x IS NOT NULL")
 
 
 def maven(files: DataFrame) -> DataFrame:
@@ -157,7 +162,7 @@ def _flat_yaml(texts: pd.Series) -> pd.Series:
 
 def yaml_entries(files: DataFrame) -> DataFrame:
     """Leaves of YAML texts; documents of a text are merged at the top, templates and broken texts are passed over."""
-    return files.select("repository", "path", F.explode(F.from_json(_flat_yaml.asNondeterministic()("text"), "map<string,string>")).alias("key", "value"))
+    return _dealt(files).select("repository", "path", F.explode(F.from_json(_flat_yaml.asNondeterministic()("text"), "map<string,string>")).alias("key", "value"))
 
 
 def xml_files(files: DataFrame) -> DataFrame:
