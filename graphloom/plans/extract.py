@@ -85,7 +85,7 @@ def links(spark, d):
 
 def specification(spark, d):
     made = versions.specification_metadata(F.col("frontmatter"), F.col("stem"), F.col("text"))
-    return rows(spark, d, FILES).select("k", *[c.alias(n) for n, c in made.items()])
+    return rows(spark, d, FILES, customer="c_custkey").select("k", *[c.alias(n) for n, c in made.items()])
 
 
 def dirty(column):
@@ -101,8 +101,8 @@ QUERIES = {
     "ex_version_path": lambda spark, d: rows(spark, d, VERSIONS).select("k", versions.path_version(F.col("path")).alias("version")),
     "ex_version_priority": version_columns,
     "ex_version_path_parts": lambda spark, d: rows(spark, d, LINKS).select("k", versions.path_parts_version(F.concat_ws("/", F.lit("a 1.2"), "title", F.lit("x"))).alias("version")),
-    "md_filename_meta": lambda spark, d: rows(spark, d, FILES).withColumn("bare", versions.file_stem(F.col("stem"))).select("k", "bare", versions.file_version(F.col("bare")).alias("version"), versions.specification_name(F.col("bare")).alias("name"), versions.file_category(F.col("bare")).alias("category")),
-    "md_content_meta": lambda spark, d: rows(spark, d, FILES).select("k", versions.content_title(F.col("text")).alias("title"), versions.content_spec_version(F.col("text")).alias("version"), versions.content_organisation(F.col("text")).alias("organisation"), versions.content_date(F.col("text")).alias("published")),
+    "md_filename_meta": lambda spark, d: rows(spark, d, FILES, customer="c_custkey").withColumn("bare", versions.file_stem(F.col("stem"))).select("k", "bare", versions.file_version(F.col("bare")).alias("version"), versions.specification_name(F.col("bare")).alias("name"), versions.file_category(F.col("bare")).alias("category")),
+    "md_content_meta": lambda spark, d: rows(spark, d, FILES, customer="c_custkey").select("k", versions.content_title(F.col("text")).alias("title"), versions.content_spec_version(F.col("text")).alias("version"), versions.content_organisation(F.col("text")).alias("organisation"), versions.content_date(F.col("text")).alias("published")),
     "md_spec_meta": specification,
     "ex_vocabulary": lambda spark, d: extraction.vocabulary_matches(table(spark, d, "documents"), WORDS, "WORD").select("doc_id", "form", "name", "n", "term"),
     "ex_llm_parse": lambda spark, d: parsed(spark, d).select("source_id", "error", F.coalesce(F.size("a.entities"), F.lit(0)).alias("n_entities")),
