@@ -23,9 +23,10 @@ def infer_parser(raw: DataFrame) -> DataFrame:
 def normalise_relationships(raw: DataFrame, entities: DataFrame, entity_prefix: str = ENTITY_PREFIX, relation_prefix: str = RELATION_PREFIX) -> DataFrame:
     """``source``, ``target`` (entity ids, or the text where no entity has the name), ``type``, version 5 UUIDs of both
     ends and of the edge, and ``confidence``, from (``source``, ``target``, ``relation``, ``confidence``, ``pos``)."""
-    index = last_of_name(entities).withColumn("uuid", names.uuid5(F.concat(F.lit(entity_prefix), "id")))  # once a name, not once an edge
+    # once a name, not once an edge; names are hashed in parts and edges pass by, so that edges of one name are never sorted
+    index = last_of_name(entities).withColumn("uuid", names.uuid5(F.concat(F.lit(entity_prefix), "id")))
     out = raw.withColumn("s", F.lower("source")).withColumn("t", F.lower("target"))
-    out = out.join(index.select(F.col("lower").alias("s"), F.col("id").alias("sid"), F.col("uuid").alias("su")), "s", "left").join(index.select(F.col("lower").alias("t"), F.col("id").alias("tid"), F.col("uuid").alias("tu")), "t", "left")
+    out = out.join(index.select(F.col("lower").alias("s"), F.col("id").alias("sid"), F.col("uuid").alias("su")).hint("shuffle_hash"), "s", "left").join(index.select(F.col("lower").alias("t"), F.col("id").alias("tid"), F.col("uuid").alias("tu")).hint("shuffle_hash"), "t", "left")
     out = out.withColumn("original_type", F.col("relation")).withColumn("type", names.canonical_relation(F.col("relation")))
     out = out.withColumn("source_id", F.coalesce("su", names.uuid5(F.concat(F.lit(entity_prefix), "source")))).withColumn("target_id", F.coalesce("tu", names.uuid5(F.concat(F.lit(entity_prefix), "target"))))
     out = out.withColumn("source", F.coalesce("sid", "source")).withColumn("target", F.coalesce("tid", "target")).drop("s", "t", "sid", "tid", "su", "tu", "relation")
