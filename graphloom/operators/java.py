@@ -129,15 +129,16 @@ def inheritance(found: DataFrame) -> DataFrame:
 
 
 def injections(found: DataFrame) -> DataFrame:
-    """What fields, constructors and setters get injected: annotated ones, and the only constructor of a class."""
-    marked = lambda a: F.exists(a, lambda x: x["name"].isin(*INJECTING))
-    f = fields(found).where(marked("annotations")).select("path", "package", F.col("class").alias("source"), F.col("type").alias("target"), F.lit("field").alias("injection"), F.col("name").alias("member"))
-    only = F.count("*").over(Window.partitionBy("path", "class")) == 1
-    c = constructors(found).withColumn("only", only).where(F.col("only") | marked("annotations")).select("path", "package", F.col("class").alias("source"), F.explode("parameters").alias("p"))
-    c = c.select("path", "package", "source", F.col("p.type").alias("target"), F.lit("constructor").alias("injection"), F.lit(None).cast("string").alias("member"))
-    s = methods(found).where(marked("annotations")).select("path", "package", F.col("class").alias("source"), F.explode("parameters").alias("p"), F.col("name").alias("member"))
-    s = s.select("path", "package", "source", F.col("p.type").alias("target"), F.lit("setter").alias("injection"), "member")
-    return f.union(c).union(s).withColumn("target", base_name(F.col("target"))).where(~F.col("target").isin(*PRIMITIVES) & (F.col("target") != ""))
+    """What fields, constructors and setters get injected: annotated ones, and the only constructor of a class. Each type is
+    read once for all."""
+    marked = lambda m: F.exists(m["annotations"], lambda x: x["name"].isin(*INJECTING))
+    row = lambda t, kind, member: F.struct(t.alias("target"), F.lit(kind).alias("injection"), member.alias("member"))
+    given = lambda m, kind, member: F.transform(m["parameters"], lambda p: row(p["type"], kind, member))
+    f = F.transform(F.filter("fields", marked), lambda m: row(m["type"], "field", m["name"]))
+    c = F.flatten(F.transform(F.filter("constructors", lambda m: (F.size("constructors") == 1) | marked(m)), lambda m: given(m, "constructor", F.lit(None).cast("string"))))
+    s = F.flatten(F.transform(F.filter("methods", marked), lambda m: given(m, "setter", m["name"])))
+    found = found.select("path", "package", F.col("name").alias("source"), F.inline(F.concat(*[F.coalesce(x, F.array()) for x in (f, c, s)])))
+    return found.withColumn("target", base_name(F.col("target"))).where(~F.col("target").isin(*PRIMITIVES) & (F.col("target") != ""))
 
 
 def spring_components(found: DataFrame) -> DataFrame:
@@ -200,13 +201,17 @@ def import_edges(found: DataFrame, imported: DataFrame) -> DataFrame:
 
 
 def resolve_names(edges: DataFrame, found: DataFrame, same_package: bool = True) -> DataFrame:
-    """Simple target names as full names of declared types: of the same package if there is one, else the first by path."""
-    index = found.select(F.col("name").alias("target"), F.col("full_name"), F.col("module").alias("target_module"), F.col("path").alias("p"), F.col("package").alias("q"))
-    marked = edges.withColumn("__gl_id", F.struct(*edges.columns))
-    near = F.when(F.col("q") == F.col("package"), 0).otherwise(1) if same_package else F.lit(0)
-    best = F.min_by(F.struct("full_name", "target_module"), F.struct(near, "p"))
-    both = marked.where(~F.col("target").contains(".")).join(index, "target", "left").groupBy("__gl_id").agg(best.alias("b"))
-    plain = both.select("__gl_id.*", F.coalesce("b.full_name", "__gl_id.target").alias("full_target"), "b.target_module")
+    """Simple target names as full names of declared types: of the same package if there is one, else the first by path.
+
+    The first type of each name (and package) is found before edges look it up, so an edge meets two rows at most, however
+    many types share a name; these are written to the shared checkpoint folder, as both lookups read them.
+    """
+    index = checkpoint(found.groupBy(F.col("name").alias("target"), "package").agg(F.min(F.struct("path", "full_name", "module")).alias("near")))
+    any_ = index.groupBy("target").agg(F.min("near").alias("any"))
+    out = edges.where(~F.col("target").contains(".")).distinct().join(any_.hint("shuffle_hash"), "target", "left")
+    out = out.join(index.hint("shuffle_hash"), ["target", "package"], "left") if same_package else out.withColumn("near", F.col("any"))
+    best = F.coalesce("near", "any")
+    plain = out.select(*edges.columns, F.coalesce(best["full_name"], F.col("target")).alias("full_target"), best["module"].alias("target_module"))
     return plain.union(edges.where(F.col("target").contains(".")).select(*edges.columns, F.col("target"), F.lit(None).cast("string")))
 
 

@@ -23,7 +23,7 @@ FULL = "CASE WHEN package = '' THEN name ELSE package || '.' || name END"
 
 
 def files(spark, d):
-    return rows(spark, d, FILES)
+    return rows(spark, d, FILES, part="p_partkey")
 
 
 def found(spark, d):
