@@ -151,13 +151,14 @@ def spring_components(found: DataFrame) -> DataFrame:
 
 
 def annotations(found: DataFrame) -> DataFrame:
-    """All annotations with what they stand on."""
-    t = found.select("path", F.lit("type").alias("target_kind"), F.col("full_name").alias("target"), F.explode("annotations").alias("a"))
-    f = fields(found).select("path", F.lit("field"), F.concat_ws("#", "owner", "name"), F.explode("annotations"))
-    m = methods(found).select("path", F.lit("method"), F.concat_ws("#", "owner", "name"), F.explode("annotations"))
-    c = constructors(found).select("path", F.lit("constructor"), F.concat_ws("#", "owner", "name"), F.explode("annotations"))
-    p = methods(found).select("path", "owner", F.col("name").alias("m"), F.explode("parameters").alias("p")).select("path", F.lit("parameter"), F.concat(F.col("owner"), F.lit("#"), F.col("m"), F.lit("("), F.col("p.name"), F.lit(")")), F.explode("p.annotations"))
-    return t.union(f).union(m).union(c).union(p).select("path", "target_kind", "target", "a.name", "a.value", "a.line")
+    """All annotations with what they stand on; each type is read once for all."""
+    def on(kind: str, target: Column, listed: Column) -> Column:
+        return F.transform(listed, lambda a: F.struct(F.lit(kind).alias("target_kind"), target.alias("target"), a["name"].alias("name"), a["value"].alias("value"), a["line"].alias("line")))
+
+    member = lambda kind: lambda m: on(kind, F.concat_ws("#", "full_name", m["name"]), m["annotations"])
+    parameter = lambda m: F.flatten(F.transform(m["parameters"], lambda p: on("parameter", F.concat(F.col("full_name"), F.lit("#"), m["name"], F.lit("("), p["name"], F.lit(")")), p["annotations"])))
+    parts = [on("type", F.col("full_name"), F.col("annotations")), *[F.flatten(F.transform(of, member(kind))) for of, kind in (("fields", "field"), ("methods", "method"), ("constructors", "constructor"))], F.flatten(F.transform("methods", parameter))]
+    return found.select("path", F.inline(F.concat(*[F.coalesce(p, F.array()) for p in parts])))
 
 
 def annotation_attributes(value: Column) -> Column:
@@ -171,17 +172,18 @@ def annotation_attributes(value: Column) -> Column:
 def resolve_annotations(found: DataFrame, imported: DataFrame) -> DataFrame:
     """Annotations with the full name that the file's imports give them; the last import of a name wins."""
     index = imported.where("NOT wildcard").groupBy("path", F.col("simple_name").alias("name")).agg(F.max_by("name", "line").alias("imported"))
-    return annotations(found).join(index, ["path", "name"], "left").withColumn("full_name", F.coalesce("imported", "name")).drop("imported")
+    return annotations(found).join(index.hint("shuffle_hash"), ["path", "name"], "left").withColumn("full_name", F.coalesce("imported", "name")).drop("imported")
 
 
 def annotation_edges(found: DataFrame, imported: DataFrame) -> DataFrame:
     """HAS_ANNOTATION from what is annotated, and ANNOTATION_TYPE from an annotation to its declared type. An annotation is
     named by its path, what it stands on, its full name and line."""
-    a = resolve_annotations(found, imported)
+    declared = found.select("full_name").distinct().withColumn("declared", F.lit(True)).hint("shuffle_hash")
+    a = resolve_annotations(found, imported).join(declared, "full_name", "left")
     node = F.concat_ws("@", "target", "full_name", F.col("line").cast("string"))
-    has = a.select("path", F.lit("HAS_ANNOTATION").alias("type"), F.col("target").alias("source"), node.alias("target"), "target_kind")
-    declared = a.join(found.select("full_name").distinct(), "full_name", "left_semi")
-    return has.union(declared.select("path", F.lit("ANNOTATION_TYPE"), node, "full_name", "target_kind"))
+    edge = lambda kind, source, target: F.struct(F.lit(kind).alias("type"), source.alias("source"), target.alias("target"), F.col("target_kind"))
+    has, of = edge("HAS_ANNOTATION", F.col("target"), node), edge("ANNOTATION_TYPE", node, F.col("full_name"))
+    return a.select("path", F.inline(F.when(F.col("declared"), F.array(has, of)).otherwise(F.array(has))))
 
 
 def parameter_edges(members: DataFrame) -> DataFrame:
