@@ -135,28 +135,76 @@ def pick_embedding(*vectors: str) -> Column:
     return F.coalesce(*[F.when(F.size(v) > 0, F.col(v)) for v in vectors])
 
 
-def _forest(near) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the graph with this matrix."""
+def _tile_forest(near) -> list[tuple[int, int]]:
+    """Edges (row, column) of a spanning forest of the bipartite graph with this matrix."""
     import numpy as np
 
-    fresh, out = np.ones(len(near), bool), []
-    for root in range(len(near)):
-        if fresh[root]:
-            fresh[root], queue = False, [root]
-            while queue:
-                at = queue.pop()
-                met = np.flatnonzero(near[at] & fresh).tolist()
-                fresh[met] = False
-                queue += met
-                out += [(at, m) for m in met]
+    rows, columns, out = near.any(1), np.ones(near.shape[1], bool), []
+    for root in np.flatnonzero(rows).tolist():
+        queue = [root] if rows[root] else []
+        rows[root] = False
+        while queue:
+            at = queue.pop()
+            met = np.flatnonzero(near[at] & columns)
+            columns[met] = False
+            out += [(at, m) for m in met.tolist()]
+            shared = near[:, met]
+            reached = np.flatnonzero(rows & shared.any(1))
+            rows[reached] = False
+            out += zip(reached.tolist(), met[shared[reached].argmax(1)].tolist(), strict=True) if len(reached) else []
+            queue += reached.tolist()
     return out
 
 
+def _pair_forest(x, first, second, threshold: float, tile: int):
+    """(row, row, score) of a spanning forest of the links between two sets of rows of unit vectors, tile by tile. Tiles
+    whose rows are in one tree already tell nothing new and are passed over; so are tiles that single precision, within
+    its error bound, shows to be below the threshold."""
+    import numpy as np
+
+    label, single = np.arange(len(x)), x.astype(np.float32)
+    surely_below = threshold - (x.shape[1] + 4) * 1.2e-7
+    for i in range(0, len(first), tile):
+        a = first[i : i + tile]
+        for j in range(i if first is second else 0, len(second), tile):
+            b = second[j : j + tile]
+            if label[a[0]] == label[b[0]] and (label[a] == label[a[0]]).all() and (label[b] == label[b[0]]).all():
+                continue
+            if (single[a] @ single[b].T).max() < surely_below:
+                continue
+            score = x[a] @ x[b].T
+            near = score >= threshold
+            if not near.any():
+                continue
+            near &= label[a][:, None] != label[b][None, :]
+            joined = False
+            for r, c in _tile_forest(near):
+                u, v = int(a[r]), int(b[c])
+                p, q = u, v
+                while label[p] != p:
+                    p = label[p]
+                while label[q] != q:
+                    q = label[q]
+                if p != q:
+                    label[max(p, q)] = min(p, q)
+                    joined = True
+                    yield u, v, round(float(score[r, c]), 4)
+            while joined:
+                up = label[label]
+                joined, label = bool((up != label).any()), up
+
+
+#: Vectors of a part at most, and how many parts there are while they hold no more.
+PART, PARTS = 65536, 24
+
+
 def cosine_links(entities: DataFrame, threshold: float = 0.92, block: int = 1024, key: str = "id", vector: str = "embedding") -> DataFrame:
     """Entities whose vectors have a cosine of ``threshold`` at least, whatever their ids; no links without vectors.
 
-    All pairs of blocks are compared in double precision, so nothing is missed, and the work grows with the square of
-    the different vectors. A pair of blocks gives a spanning forest of its links, which has the same components.
+    All pairs are compared in double precision, so nothing is missed, and the work grows with the square of the different
+    vectors. Vectors are dealt into 24 parts (more where one would hold over 65,536), each of which goes to as many tasks
+    as there are parts, so what is shuffled grows with the vectors up to 1.5 million. A task compares two parts in tiles of
+    ``block`` vectors and gives a spanning forest of their links, which has the same components.
     """
     import numpy as np
     import pandas as pd
@@ -170,18 +218,22 @@ def cosine_links(entities: DataFrame, threshold: float = 0.92, block: int = 1024
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan(norm) & (norm > 1e-24) & (norm < float("inf")))
     hubs = rows.groupBy("v").agg(F.min("id").alias("left"))
     equal = rows.join(hubs, "v").where("id <> left").select("left", F.col("id").alias("right"), F.lit(1.0).alias("score"), F.lit("embedding_similarity").alias("reason"))
-    blocks = max(1, -(-hubs.count() // block))
-    own = hubs.select(F.col("left").alias("id"), "v", F.pmod(F.xxhash64("left"), F.lit(blocks)).cast("int").alias("own"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", "v", "own", F.size("v").alias("size"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+    n = hubs.count()
+    parts = max(1, min(PARTS, -(-n // block)), -(-n // PART))
+    own = hubs.select(F.col("left").alias("id"), "v", F.pmod(F.xxhash64("left"), F.lit(parts)).cast("int").alias("own"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select("id", "v", "own", F.size("v").alias("size"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         x = np.array(part["v"].tolist(), np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        score = x @ x.T
-        found = [(part["id"].iat[min(e)], part["id"].iat[max(e)], round(float(score[e]), 4)) for e in _forest(score >= threshold)]
+        first = np.flatnonzero(part["own"] == part["a"].iat[0])
+        second = first if part["a"].iat[0] == part["b"].iat[0] else np.flatnonzero(part["own"] == part["b"].iat[0])
+        ids = part["id"].tolist()
+        found = [(ids[u], ids[v], score) for u, v, score in _pair_forest(x, first, second, threshold, block)]
         return pd.DataFrame([(min(a, b), max(a, b), s, "embedding_similarity") for a, b, s in found], columns=["left", "right", "score", "reason"])
 
-    return dealt.groupBy("a", "b", "size").applyInPandas(compare, schema).union(equal).groupBy("left", "right", "reason").agg(F.max("score").alias("score")).select("left", "right", "score", "reason")
+    pairs = dealt.repartition(parts * (parts + 1) // 2, "a", "b", "size").groupBy("a", "b", "size")
+    return pairs.applyInPandas(compare, schema).union(equal).groupBy("left", "right", "reason").agg(F.max("score").alias("score")).select("left", "right", "score", "reason")
 
 
 def cosine(a: Column, b: Column) -> Column:
